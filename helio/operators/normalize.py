@@ -49,12 +49,9 @@ def normalize_rows(df: DataFrame, arrival: str | None = None) -> DataFrame:
 # --- JSON values ---------------------------------------------------------------------
 
 
-def _step(name: str) -> str:
-    return f"['{name}']"
-
-
 def _at(value: Column, *names: str) -> Column:
-    return F.try_variant_get(value, "$" + "".join(_step(n) for n in names), "variant")
+    path = "$" + "".join(f"['{name}']" for name in names)
+    return F.try_variant_get(value, path, "variant")
 
 
 def _text(value: Column) -> Column:
@@ -67,156 +64,144 @@ def _items(value: Column) -> Column:
 
 
 def _is_object(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("OBJECT")
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+
+
+def _kind(value: Column) -> Column:
+    return F.schema_of_variant(value)
 
 
 def _number(value: Column) -> Column:
     """A JSON value as a double: booleans count 1 and 0, texts are parsed, others give 0."""
     text = _text(value)
-    flag = F.when(text == "true", 1.0).otherwise(0.0)
-    return F.when(F.schema_of_variant(value) == "BOOLEAN", flag).otherwise(coerce_float(text))
+    is_true = (text == "true") & (_kind(value) == "BOOLEAN")
+    return F.when(is_true, 1.0).otherwise(coerce_float(text))
 
 
 def _truthy(value: Column) -> Column:
     """``value`` unless it is null, empty, zero or false."""
     text = _text(value)
-    kind = F.schema_of_variant(value)
-    falsy = (
-        (text == "")
-        | ((kind == "BOOLEAN") & (text == "false"))
-        | ((kind != "STRING") & (text.try_cast("double") == 0))
-        | text.isin("[]", "{}")
-    )
+    zero = (text == "false") | (F.coalesce(text.try_cast("double"), F.lit(1.0)) == 0)
+    falsy = text.isin("", "[]", "{}") | (zero & (_kind(value) != "STRING"))
     return F.when(text.isNotNull() & ~falsy, value)
 
 
-def _first_truthy(value: Column, names: tuple[str, ...]) -> Column:
-    """First truthy field; failing that the last one as it is, which may be null or falsy."""
-    *first, last = [_at(value, name) for name in names]
-    return F.coalesce(*[_truthy(c) for c in first], last)
+# --- payload shapes ------------------------------------------------------------------
 
 
-def _record(time_tag: Column, measures: dict[str, Column]) -> Column:
-    return F.struct(
-        time_tag.alias("time_tag"), *[measures[name].alias(name) for name in MEASURES]
+def _units(df: DataFrame, payload: str, arrival: str | None) -> DataFrame:
+    """Parsed payloads with the list of what they hold: one grid, or some events."""
+    now = F.col(arrival).cast("string") if arrival else F.lit(None).cast("string")
+    root = F.col("root")
+    events = F.coalesce(
+        _items(_at(root, "features")),
+        _items(_at(root, "results")),
+        F.when(_is_object(root), F.array(root)),
+        _items(root),
     )
+    parsed = df.select(
+        F.col(payload).alias("payload"), now.alias("now"), F.try_parse_json(payload).alias("root")
+    ).withColumn("is_grid", _items(_at(root, "coordinates")).isNotNull())
+    return parsed.withColumn("units", F.when(F.col("is_grid"), F.array(root)).otherwise(events))
 
 
-# --- payload shapes ------------------------------------------------------------------
-
-
-def _grid_record(payload: Column, cells: Column, arrival: Column) -> Column:
-    """One record for a whole grid of ``[lon, lat, intensity]`` cells."""
+def _grid_measures(grid: Column) -> Column:
+    """Statistics of the intensities of ``[lon, lat, intensity]`` cells, as a record."""
 
     def intensity(cell: Column) -> Column:
         parts = _items(cell)
         return _number(F.when(F.size(parts) >= 3, F.get(parts, 2)).otherwise(F.get(parts, 0)))
 
-    lists = F.filter(cells, lambda cell: _items(cell).isNotNull())
-    found = F.transform(lists, intensity)
+    cells = _items(_at(grid, "coordinates"))
+    found = F.transform(F.filter(cells, lambda cell: _items(cell).isNotNull()), intensity)
     values = F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(0.0)))
-    mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / F.size(values)
-    highest = F.array_max(values)
-    above = F.size(F.filter(values, lambda v: v > 0))
-    time_tag = F.coalesce(*[_text(_truthy(_at(payload, n))) for n in GRID_TIMES], arrival)
-    return _record(
-        time_tag,
-        {
+
+    def figures(v: Column) -> Column:
+        mean = F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v)
+        highest = F.array_max(v)
+        measures = {
             "speed": mean,
-            "density": above.cast("double"),
+            "density": F.size(F.filter(v, lambda x: x > 0)).cast("double"),
             "temperature": highest,
             "bx": mean,
             "by": F.size(cells).cast("double"),
             "bz": F.lit(0.0),
             "bt": highest,
-        },
-    )
+        }
+        return F.struct(*[measures[name].alias(name) for name in MEASURES])
 
+    # one-element transform, so that the list is built once for all figures
+    return F.get(F.transform(F.array(values), figures), 0)
 
-def _flat_record(event: Column, arrival: Column) -> Column:
-    time_tag = F.coalesce(_text(_first_truthy(event, ROW_TIMES)), arrival)
-    return _record(time_tag, {name: _number(_at(event, name)) for name in MEASURES})
 
+def _candidates(unit: Column, props: Column, is_grid: Column) -> dict[str, Column]:
+    """Where a unit keeps each time and measure, as JSON values still to be read."""
+    body = F.coalesce(props, unit)
+    featured = props.isNotNull()
 
-def _feature_record(event: Column, arrival: Column) -> Column:
-    """A feature object: measures under ``properties``, depth as third coordinate."""
-    props = _at(event, "properties")
-    point = _items(_at(event, "geometry", "coordinates"))
-    times = (_at(props, "time"), _at(event, "timestamp"), _at(event, "time"))
-    depth = F.when(F.size(point) >= 3, F.get(point, 2)).otherwise(_at(props, "depth"))
-    measures = {name: _number(_at(props, name)) for name in MEASURES}
-    measures |= {
-        "speed": _number(_first_truthy(props, FEATURE_SPEEDS)),
-        "density": _number(depth),
-        "bt": _number(_first_truthy(props, FEATURE_FIELDS)),
-    }
-    time_tag = F.coalesce(*[_text(_truthy(t)) for t in times], arrival)
-    return _record(time_tag, measures)
+    def first(names: tuple[str, ...]) -> Column:
+        *earlier, last = [_at(body, name) for name in names]
+        return F.coalesce(*[F.when(featured, _truthy(c)) for c in earlier], last)
 
-
-def _parsed(df: DataFrame, payload: str, arrival: str | None) -> DataFrame:
-    now = F.col(arrival).cast("string") if arrival else F.lit(None).cast("string")
-    root = F.col("_json")
-    events = F.coalesce(
-        _items(_at(root, "features")),
-        _items(_at(root, "results")),
-        F.when(_is_object(root), F.array(root)),
-        _items(root),
+    point = _items(_at(unit, "geometry", "coordinates"))
+    depth = F.when(F.size(point) >= 3, F.get(point, 2)).otherwise(_at(props, "depth"))
+    found = {name: _at(body, name) for name in MEASURES}
+    found["speed"] = first(FEATURE_SPEEDS)
+    found["density"] = F.when(featured, depth).otherwise(found["density"])
+    found["bt"] = first(FEATURE_FIELDS)
+    times = [_at(unit, name) for name in ROW_TIMES]
+    times[0] = F.when(featured, _at(props, "time")).otherwise(times[0])
+    for i, name in enumerate(GRID_TIMES):
+        times[i] = F.when(is_grid, _at(unit, name)).otherwise(times[i])
+    times[2] = F.when(~is_grid, times[2])
+    return found | {f"time_{i}": time for i, time in enumerate(times)}
+
+
+def _read_units(units: DataFrame) -> DataFrame:
+    """Canonical records; a step for each depth of reading keeps the generated code small."""
+    unit, props, is_grid = F.col("unit"), F.col("props"), F.col("is_grid")
+    exploded = units.select("now", "is_grid", F.explode("units").alias("unit"))
+    objects = exploded.where(is_grid | _is_object(unit)).withColumn(
+        "props", F.when(~is_grid & _is_object(_at(unit, "properties")), _at(unit, "properties"))
+    )
+    found = objects.select(
+        "now",
+        F.when(is_grid, _grid_measures(unit)).alias("grid"),
+        (~is_grid & props.isNull()).alias("is_flat"),
+        *[value.alias(name) for name, value in _candidates(unit, props, is_grid).items()],
+    )
+    time_tag = F.coalesce(
+        *[_text(_truthy(F.col(f"time_{i}"))) for i in range(3)],
+        # a flat row keeps even an empty last time
+        F.when(F.col("is_flat"), _text(F.col("time_2"))),
+        F.col("now"),
+    )
+    return found.select(
+        time_tag.alias("time_tag"),
+        *[F.coalesce(F.col("grid")[m], _number(F.col(m))).alias(m) for m in MEASURES],
     )
-    return df.select(
-        F.col(payload).alias("payload"), now.alias("_arrival"), F.try_parse_json(payload).alias("_json")
-    ).select("*", _items(_at(root, "coordinates")).alias("_cells"), events.alias("_events"))
 
 
 def normalize_grid(df: DataFrame, payload: str = "payload", arrival: str | None = None) -> DataFrame:
     """Canonical records of the grid payloads in ``df``, one each."""
-    grids = _parsed(df, payload, arrival).where(F.col("_cells").isNotNull())
-    record = _grid_record(F.col("_json"), F.col("_cells"), F.col("_arrival"))
-    return grids.select(record.alias("r")).select("r.*")
+    return _read_units(_units(df, payload, arrival).where(F.col("is_grid")))
 
 
 def normalize_events(
     df: DataFrame, payload: str = "payload", arrival: str | None = None
 ) -> DataFrame:
     """Canonical records of the event payloads in ``df``: envelopes, lists, single objects."""
-    events = (
-        _parsed(df, payload, arrival)
-        .where(F.col("_cells").isNull())
-        .select("_arrival", F.explode("_events").alias("e"))
-        .where(_is_object(F.col("e")))
-    )
-    event, now = F.col("e"), F.col("_arrival")
-    record = F.when(_is_object(_at(event, "properties")), _feature_record(event, now)).otherwise(
-        _flat_record(event, now)
-    )
-    return events.select(record.alias("r")).select("r.*")
+    return _read_units(_units(df, payload, arrival).where(~F.col("is_grid")))
 
 
 def normalize_payloads(
     df: DataFrame, payload: str = "payload", arrival: str | None = None
 ) -> DataFrame:
     """Canonical records of every readable payload, whatever its shape, in one pass."""
-    now = F.col("_arrival")
-    grid = F.when(
-        F.col("_cells").isNotNull(),
-        F.array(_grid_record(F.col("_json"), F.col("_cells"), now)),
-    )
-    objects = F.filter("_events", _is_object)
-    listed = F.transform(
-        objects,
-        lambda e: F.when(_is_object(_at(e, "properties")), _feature_record(e, now)).otherwise(
-            _flat_record(e, now)
-        ),
-    )
-    records = _parsed(df, payload, arrival).select(F.coalesce(grid, listed).alias("records"))
-    return records.select(F.inline("records"))
+    return _read_units(_units(df, payload, arrival))
 
 
 def rejected_payloads(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Payloads that are no JSON object or array, or that list something else than objects."""
-    unread = F.col("_events").isNull() | F.exists("_events", lambda e: ~_is_object(e))
-    return (
-        _parsed(df, payload, None)
-        .where(F.col("_cells").isNull() & unread)
-        .select("payload")
-    )
+    unread = F.col("units").isNull() | F.exists("units", lambda unit: ~_is_object(unit))
+    return _units(df, payload, None).where(unread).select("payload")

@@ -146,7 +146,7 @@ RAW_SPEED = """CASE event_id % 6 WHEN 3 THEN value WHEN 5 THEN value WHEN 4 THEN
 PAYLOAD = """src AS (
   SELECT event_id, event_id % 7 AS shape, value,
     CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
-    CAST(epoch_ms(ts) AS VARCHAR) AS ms, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso
+    CAST(epoch_us(ts) // 1000 AS VARCHAR) AS ms, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso
   FROM events),
 grids AS (
   SELECT CASE WHEN event_id % 14 = 0 THEN 'later' ELSE iso END AS time_tag,
