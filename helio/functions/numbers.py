@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 FLOAT_TEXT = (
     r"(?i)^[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?|inf|infinity|nan)$"
 )
+WHITESPACE = " \t\n\r\f\v"
 
 
 def coerce_float(text: Column, default: float = 0.0) -> Column:
     """``text`` as a double; null and anything that is not a number give ``default``."""
-    trimmed = F.regexp_replace(text, r"^\s+|\s+$", "")
-    digits = F.regexp_replace(trimmed, "_", "")
+    trimmed = F.btrim(text, F.lit(WHITESPACE))
     return F.coalesce(
-        F.when(trimmed.rlike(FLOAT_TEXT), digits.try_cast("double")),
+        F.when(trimmed.rlike(FLOAT_TEXT), F.translate(trimmed, "_", "").try_cast("double")),
         F.lit(float(default)),
     )
 

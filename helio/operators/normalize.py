@@ -18,7 +18,9 @@ from ..schema import MEASURES
 ROW_TIMES = ("time_tag", "timestamp", "time")
 GRID_TIMES = ("Observation Time", "Forecast Time")
 FEATURE_SPEEDS = ("mag", "magnitude", "speed")
-FEATURE_FIELDS = ("sig", "score", "bt")
+FEATURE_BTS = ("sig", "score", "bt")
+FEATURE_FIELDS = tuple(dict.fromkeys(("depth", *FEATURE_SPEEDS, *FEATURE_BTS, *MEASURES)))
+ZERO_TEXT = r"^-?0+(\.0*)?([eE].*)?$"
 
 
 # --- flat rows -----------------------------------------------------------------------
@@ -58,6 +60,12 @@ def _text(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
 
+def _texts(value: Column, names: tuple[str, ...]) -> Column:
+    """Several fields of a JSON object as texts, read in one go; null for other values."""
+    fields = ", ".join(f"`{name}`: string" for name in names)
+    return F.try_variant_get(value, "$", f"struct<{fields}>")
+
+
 def _items(value: Column) -> Column:
     """The elements of a JSON array, null for any other value."""
     return F.try_variant_get(value, "$", "array<variant>")
@@ -71,19 +79,23 @@ def _kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def _number(value: Column) -> Column:
-    """A JSON value as a double: booleans count 1 and 0, texts are parsed, others give 0."""
-    text = _text(value)
+def _number(text: Column, value: Column) -> Column:
+    """A JSON value, given as text and as parsed, as a double.
+
+    Booleans count 1 and 0, texts are parsed, anything else gives 0.
+    """
     is_true = (text == "true") & (_kind(value) == "BOOLEAN")
     return F.when(is_true, 1.0).otherwise(coerce_float(text))
 
 
-def _truthy(value: Column) -> Column:
-    """``value`` unless it is null, empty, zero or false."""
-    text = _text(value)
-    zero = (text == "false") | (F.coalesce(text.try_cast("double"), F.lit(1.0)) == 0)
+def _truthy(text: Column, value: Column) -> Column:
+    """The text of a JSON value unless it is null, empty, zero or false.
+
+    The kind is looked up only for the few texts it matters for.
+    """
+    zero = (text == "false") | text.rlike(ZERO_TEXT)
     falsy = text.isin("", "[]", "{}") | (zero & (_kind(value) != "STRING"))
-    return F.when(text.isNotNull() & ~falsy, value)
+    return F.when(~falsy, text)
 
 
 # --- payload shapes ------------------------------------------------------------------
@@ -102,7 +114,9 @@ def _units(df: DataFrame, payload: str, arrival: str | None) -> DataFrame:
     parsed = df.select(
         F.col(payload).alias("payload"), now.alias("now"), F.try_parse_json(payload).alias("root")
     ).withColumn("is_grid", _items(_at(root, "coordinates")).isNotNull())
-    return parsed.withColumn("units", F.when(F.col("is_grid"), F.array(root)).otherwise(events))
+    return parsed.withColumn(
+        "units", F.when(F.col("is_grid"), F.array(root)).otherwise(events)
+    ).withColumn("grid", F.when(F.col("is_grid"), _grid_measures(root)))
 
 
 def _grid_measures(grid: Column) -> Column:
@@ -110,7 +124,8 @@ def _grid_measures(grid: Column) -> Column:
 
     def intensity(cell: Column) -> Column:
         parts = _items(cell)
-        return _number(F.when(F.size(parts) >= 3, F.get(parts, 2)).otherwise(F.get(parts, 0)))
+        value = F.when(F.size(parts) >= 3, F.get(parts, 2)).otherwise(F.get(parts, 0))
+        return _number(_text(value), value)
 
     cells = _items(_at(grid, "coordinates"))
     found = F.transform(F.filter(cells, lambda cell: _items(cell).isNotNull()), intensity)
@@ -134,51 +149,64 @@ def _grid_measures(grid: Column) -> Column:
     return F.get(F.transform(F.array(values), figures), 0)
 
 
-def _candidates(unit: Column, props: Column, is_grid: Column) -> dict[str, Column]:
-    """Where a unit keeps each time and measure, as JSON values still to be read."""
-    body = F.coalesce(props, unit)
-    featured = props.isNotNull()
+def _read_units(units: DataFrame) -> DataFrame:
+    """Canonical records; a step for each depth of reading keeps the generated code small."""
+    unit, props, body, is_grid = (F.col(c) for c in ("unit", "props", "body", "is_grid"))
+    # a plain explode would have the optimizer parse every payload again, in a filter
+    # it infers for empty lists
+    exploded = units.select("now", "is_grid", "grid", F.explode_outer("units").alias("unit"))
+    objects = exploded.select(
+        "*",
+        _texts(unit, (*ROW_TIMES, *GRID_TIMES)).alias("outer"),
+        F.when(~is_grid & _is_object(_at(unit, "properties")), _at(unit, "properties")).alias(
+            "props"
+        ),
+    ).where(F.col("outer").isNotNull())
+    point = _items(_at(unit, "geometry", "coordinates"))
+    read = objects.select(
+        "*",
+        F.coalesce(props, unit).alias("body"),
+        _texts(F.coalesce(props, unit), ("time", *FEATURE_FIELDS)).alias("inner"),
+        F.when(props.isNotNull() & (F.size(point) >= 3), F.get(point, 2)).alias("third"),
+    )
 
-    def first(names: tuple[str, ...]) -> Column:
-        *earlier, last = [_at(body, name) for name in names]
-        return F.coalesce(*[F.when(featured, _truthy(c)) for c in earlier], last)
+    def outer(name: str) -> Column:
+        return _truthy(F.col("outer")[name], _at(unit, name))
 
-    point = _items(_at(unit, "geometry", "coordinates"))
-    depth = F.when(F.size(point) >= 3, F.get(point, 2)).otherwise(_at(props, "depth"))
-    found = {name: _at(body, name) for name in MEASURES}
-    found["speed"] = first(FEATURE_SPEEDS)
-    found["density"] = F.when(featured, depth).otherwise(found["density"])
-    found["bt"] = first(FEATURE_FIELDS)
-    times = [_at(unit, name) for name in ROW_TIMES]
-    times[0] = F.when(featured, _at(props, "time")).otherwise(times[0])
-    for i, name in enumerate(GRID_TIMES):
-        times[i] = F.when(is_grid, _at(unit, name)).otherwise(times[i])
-    times[2] = F.when(~is_grid, times[2])
-    return found | {f"time_{i}": time for i, time in enumerate(times)}
+    def inner(name: str) -> Column:
+        return _truthy(F.col("inner")[name], _at(body, name))
 
+    def number(name: str) -> Column:
+        return _number(F.col("inner")[name], _at(body, name))
 
-def _read_units(units: DataFrame) -> DataFrame:
-    """Canonical records; a step for each depth of reading keeps the generated code small."""
-    unit, props, is_grid = F.col("unit"), F.col("props"), F.col("is_grid")
-    exploded = units.select("now", "is_grid", F.explode("units").alias("unit"))
-    objects = exploded.where(is_grid | _is_object(unit)).withColumn(
-        "props", F.when(~is_grid & _is_object(_at(unit, "properties")), _at(unit, "properties"))
-    )
-    found = objects.select(
-        "now",
-        F.when(is_grid, _grid_measures(unit)).alias("grid"),
-        (~is_grid & props.isNull()).alias("is_flat"),
-        *[value.alias(name) for name, value in _candidates(unit, props, is_grid).items()],
+    def first(*names: str) -> Column:
+        *earlier, last = names
+        taken = [F.when(props.isNotNull() & inner(n).isNotNull(), number(n)) for n in earlier]
+        return F.coalesce(*taken, number(last))
+
+    depth = F.when(F.col("third").isNotNull(), _number(_text(F.col("third")), F.col("third")))
+    measures = {name: number(name) for name in MEASURES}
+    measures["speed"] = first(*FEATURE_SPEEDS)
+    measures["density"] = F.coalesce(
+        depth, F.when(props.isNotNull(), number("depth")).otherwise(number("density"))
     )
-    time_tag = F.coalesce(
-        *[_text(_truthy(F.col(f"time_{i}"))) for i in range(3)],
+    measures["bt"] = first(*FEATURE_BTS)
+    flat_time, later_times = ROW_TIMES[0], ROW_TIMES[1:]
+    event_times = [
+        F.when(props.isNotNull(), inner("time")).otherwise(outer(flat_time)),
+        *[outer(name) for name in later_times],
         # a flat row keeps even an empty last time
-        F.when(F.col("is_flat"), _text(F.col("time_2"))),
+        F.when(props.isNull(), F.col("outer")[later_times[-1]]),
+    ]
+    time_tag = F.coalesce(
+        F.when(is_grid, F.coalesce(*[outer(name) for name in GRID_TIMES])).otherwise(
+            F.coalesce(*event_times)
+        ),
         F.col("now"),
     )
-    return found.select(
+    return read.select(
         time_tag.alias("time_tag"),
-        *[F.coalesce(F.col("grid")[m], _number(F.col(m))).alias(m) for m in MEASURES],
+        *[F.coalesce(F.col("grid")[m], measures[m]).alias(m) for m in MEASURES],
     )
 
 
