@@ -21,6 +21,10 @@ FIVE_MINUTES = WindowSpec("5 minutes", 300, 60)
 FIFTEEN_MINUTES = WindowSpec("15 minutes", 900, 300)
 SPECS = (ONE_MINUTE, FIVE_MINUTES, FIFTEEN_MINUTES)
 
+# Spread is summed around this speed, in km/s. Any value gives the same result; one near
+# the data leaves the most digits.
+TYPICAL_SPEED = 500.0
+
 WINDOW_COLUMNS = (
     "window",
     "rolling_avg_speed",
@@ -72,31 +76,30 @@ def speed_windows(df: DataFrame, specs: tuple[WindowSpec, ...] = SPECS) -> DataF
 
     Every record is aggregated once, into the pane of the windows' common step; only
     panes are copied to the windows they belong to. Spread is merged from the panes'
-    means and squared deviations, as sums of squares would lose it to cancellation.
+    squared deviations and the distances of their means from a typical speed, which
+    keeps every buffer of fixed size.
     """
     width = gcd(*[value for spec in specs for value in (spec.length, spec.slide)])
     placed = _panes(df, width).select("*", F.inline(windows_of(F.col("pane"), specs)))
+    offset = F.col("mean") - TYPICAL_SPEED
     merged = placed.groupBy("window_label", "start", "end").agg(
         F.sum("n").alias("n"),
         F.sum(F.col("n") * F.col("mean")).alias("speed"),
+        F.sum(F.col("n") * offset).alias("first"),
+        F.sum(F.col("m2") + F.col("n") * offset * offset).alias("second"),
         F.min("lo").alias("rolling_min_speed"),
         F.max("hi").alias("rolling_max_speed"),
         F.try_divide(F.sum("density"), F.sum("n_density")).alias("rolling_avg_density"),
         F.try_divide(F.sum("score"), F.sum("n_score")).alias("rolling_avg_disturbance"),
-        # one entry per pane, so its length is fixed by the window and not by the data
-        F.collect_list(F.when(F.col("n") > 0, F.struct("n", "mean", "m2"))).alias("panes"),
-    )
-    mean = F.try_divide(F.col("speed"), F.col("n"))
-    spread = F.aggregate(
-        "panes",
-        F.lit(0.0),
-        lambda total, pane: (
-            total + pane["m2"] + pane["n"] * F.pow(pane["mean"] - F.col("rolling_avg_speed"), 2)
-        ),
     )
+    shift = F.try_divide(F.col("first"), F.col("n"))
+    variance = F.try_divide(F.col("second"), F.col("n")) - shift * shift
+    # equal speeds have no spread; what is left of it after rounding must not show
+    same = F.col("rolling_min_speed") == F.col("rolling_max_speed")
+    spread = F.when(same, 0.0).when(variance < 0, 0.0).otherwise(F.sqrt(variance))
     return (
-        merged.withColumn("rolling_avg_speed", mean)
-        .withColumn("speed_volatility", F.sqrt(F.try_divide(spread, F.col("n"))))
+        merged.withColumn("rolling_avg_speed", F.try_divide(F.col("speed"), F.col("n")))
+        .withColumn("speed_volatility", spread)
         .withColumn("window", window_struct())
         .select(*WINDOW_COLUMNS)
     )
