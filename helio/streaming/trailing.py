@@ -72,8 +72,15 @@ def start_rolling_snapshots(
     store = _TickStore(f"{root}/ticks")
 
     def advance(batch: DataFrame, batch_id: int) -> None:
-        rows = live_rows(batch)
-        history = store.load(batch.sparkSession, batch_id)
+        # the sink and the store both need the batch; its source is read once
+        rows = live_rows(batch).persist()
+        try:
+            step(rows, batch_id)
+        finally:
+            rows.unpersist()
+
+    def step(rows: DataFrame, batch_id: int) -> None:
+        history = store.load(rows.sparkSession, batch_id)
         if history is None:
             ticks = ticks_of(rows)
         else:
