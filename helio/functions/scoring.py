@@ -24,32 +24,26 @@ LEVELS = {"batch": BATCH_LEVELS, "stream": STREAM_LEVELS}
 STORM_SPEED = BATCH_LEVELS["speed"][0][0]
 
 
-def _case(value: Column, steps, otherwise) -> Column:
-    (bound, result), *rest = steps
-    chain = F.when(value >= F.lit(bound), F.lit(result))
-    for bound, result in rest:
-        chain = chain.when(value >= F.lit(bound), F.lit(result))
-    return chain.otherwise(F.lit(otherwise))
+def _case(value: str, steps, otherwise: str) -> str:
+    whens = " ".join(f"WHEN {value} >= {bound} THEN {result}" for bound, result in steps)
+    return f"CASE {whens} ELSE {otherwise} END"
 
 
 def disturbance_score(
-    kind: str = "batch",
-    speed: Column | str = "speed",
-    density: Column | str = "density",
-    bt: Column | str = "bt",
+    kind: str = "batch", speed: str = "speed", density: str = "density", bt: str = "bt"
 ) -> Column:
     """Sum of the points of the three measures; a null measure scores 1.
 
     ``kind`` picks the scale: ``batch`` (four steps) or ``stream`` (five steps).
     """
-    levels = LEVELS[kind]
-    measures = {"speed": speed, "density": density, "bt": bt}
-    points = [
-        _case(F.col(measure) if isinstance(measure, str) else measure, levels[name], 1)
-        for name, measure in measures.items()
-    ]
-    return points[0] + points[1] + points[2]
+    columns = {"speed": speed, "density": density, "bt": bt}
+    return F.expr(
+        " + ".join(
+            _case(columns[name], [(f"{bound}D", points) for bound, points in steps], "1")
+            for name, steps in LEVELS[kind].items()
+        )
+    )
 
 
-def risk_band(score: Column | str = "disturbance_score") -> Column:
-    return _case(F.col(score) if isinstance(score, str) else score, BANDS, BASE_BAND)
+def risk_band(score: str = "disturbance_score") -> Column:
+    return F.expr(_case(score, [(bound, f"'{band}'") for bound, band in BANDS], f"'{BASE_BAND}'"))

@@ -11,10 +11,6 @@ MILLISECOND_FLOOR = 1e12
 MIN_EPOCH, MAX_EPOCH = -62_135_596_800, 253_402_300_799
 
 EPOCH_TEXT = r"^-?\d+$"
-ISO_TEXT = (
-    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}:\d{2})?)?$"
-)
-HOUR_ONLY = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2})(Z|[+-]\d{2}:\d{2})?$"
 
 
 def _from_epoch(number: Column) -> Column:
@@ -38,9 +34,10 @@ def parse_event_time(value: Column, dtype: T.DataType | None = None) -> Column:
     if isinstance(dtype, T.NumericType):
         return _from_epoch(value.cast("double"))
     text = F.trim(value)
-    iso = F.regexp_replace(text, HOUR_ONLY, "$1:00$2")
-    return F.when(text.rlike(EPOCH_TEXT), _from_epoch(text.try_cast("double"))).when(
-        text.rlike(ISO_TEXT), F.try_to_timestamp(iso)
+    # most texts are dates, so they are told by two dashes before any pattern is tried
+    dated = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    return F.when(dated, F.try_to_timestamp(text)).when(
+        text.rlike(EPOCH_TEXT), _from_epoch(text.try_cast("double"))
     )
 
 

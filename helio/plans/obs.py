@@ -12,28 +12,19 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_observations(rows: DataFrame) -> DataFrame:
     """Events as solar-wind records, with some missing and some impossible measures."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    ident = F.col("event_id")
-
-    def every(n: int):
-        return ident % n == 0
-
-    return rows.select(
+    parsed = rows.select("*", F.expr("cast(get_json_object(props, '$.k') as int) AS k"))
+    return parsed.selectExpr(
         "event_id",
-        F.col("ts").cast("timestamp").alias("time_tag"),
-        F.when(every(53), F.lit(-1.0))
-        .when(every(59), F.lit(None))
-        .otherwise(300.0 + 4.0 * F.col("value"))
-        .alias("speed"),
-        (k / 8.0).alias("density"),
-        (100000.0 + 1000.0 * k).alias("temperature"),
-        (-(ident % 7) / 2.0).alias("bx"),
-        ((ident % 11) / 2.0).alias("by"),
-        ((ident % 13 - 6) / 2.0).alias("bz"),
-        F.when(every(41), F.lit(None))
-        .when(every(43), F.lit(-0.5))
-        .otherwise((F.col("user_id") % 100) / 10.0)
-        .alias("bt"),
+        "cast(ts as timestamp) AS time_tag",
+        """CASE WHEN event_id % 53 = 0 THEN -1D WHEN event_id % 59 = 0 THEN NULL
+           ELSE 300D + 4D * value END AS speed""",
+        "k / 8D AS density",
+        "100000D + 1000D * k AS temperature",
+        "-(event_id % 7) / 2D AS bx",
+        "(event_id % 11) / 2D AS by",
+        "(event_id % 13 - 6) / 2D AS bz",
+        """CASE WHEN event_id % 41 = 0 THEN NULL WHEN event_id % 43 = 0 THEN -0.5D
+           ELSE (user_id % 100) / 10D END AS bt""",
     )
 
 

@@ -37,8 +37,8 @@ def evaluate(df, expression):
     ],
 )
 def test_score_edges(spark, kind, measure, values, points):
-    measures = {name: F.lit(0.0) for name in ("speed", "density", "bt")}
-    measures[measure] = F.col("v")
+    measures = {name: "0D" for name in ("speed", "density", "bt")}
+    measures[measure] = "v"
     found = evaluate(column(spark, values, "double"), disturbance_score(kind, **measures))
     assert found == [p + 2 for p in points]
 
