@@ -29,7 +29,7 @@ from helio.sources import read_observations
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 HEADLINE = [
     "benchmark_stats",
@@ -138,8 +138,8 @@ def comparisons(spark: SparkSession) -> dict[str, Callable[[], DataFrame | None]
         "windows_union": window_union,
         "rolling_5m_panes": lambda: rolling_snapshot(stored),
         "rolling_5m_one_task": lambda: one_window(5),
-        "rolling_24h_panes": lambda: rolling_snapshot(stored, minutes=1440),
-        "rolling_24h_one_task": lambda: one_window(1440),
+        "rolling_1h_panes": lambda: rolling_snapshot(stored, minutes=60),
+        "rolling_1h_one_task": lambda: one_window(60),
     }
 
 

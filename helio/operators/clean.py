@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import disturbance_score, risk_band, to_event_time
 from ..schema import validate_columns
+from .once import computed_once
 
 
 def clean_observations(df: DataFrame) -> DataFrame:
@@ -23,7 +25,10 @@ def clean_observations(df: DataFrame) -> DataFrame:
 
 def with_event_time(df: DataFrame, target: str = "timestamp") -> DataFrame:
     dtype = df.schema["time_tag"].dataType
-    return df.withColumn(target, to_event_time(F.col("time_tag"), dtype))
+    value = to_event_time(F.col("time_tag"), dtype)
+    if isinstance(dtype, T.StringType):
+        return computed_once(df, target, value)
+    return df.withColumn(target, value)
 
 
 def with_calendar(df: DataFrame, source: str = "timestamp") -> DataFrame:

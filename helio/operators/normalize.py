@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import coerce_float
 from ..schema import MEASURES
+from .once import computed_once
 
 # Where each kind of payload keeps its time and its measures.
 ROW_TIMES = ("time_tag", "timestamp", "time")
@@ -111,13 +112,10 @@ def _units(df: DataFrame, payload: str, arrival: str | None) -> DataFrame:
         F.when(_is_object(root), F.array(root)),
         _items(root),
     )
-    # as the output of a generator the parsed payload is a plain column; as an expression
-    # the optimizer would repeat the parsing in every filter it moves below this point
-    parsed = df.select(
-        F.col(payload).alias("payload"),
-        now.alias("now"),
-        F.explode_outer(F.array(F.try_parse_json(payload))).alias("root"),
-    ).withColumn("is_grid", _items(_at(root, "coordinates")).isNotNull())
+    texts = df.select(F.col(payload).alias("payload"), now.alias("now"))
+    parsed = computed_once(texts, "root", F.try_parse_json("payload")).withColumn(
+        "is_grid", _items(_at(root, "coordinates")).isNotNull()
+    )
     return parsed.withColumn(
         "units", F.when(F.col("is_grid"), F.array(root)).otherwise(events)
     ).withColumn("grid", F.when(F.col("is_grid"), _grid_measures(root)))

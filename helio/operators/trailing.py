@@ -18,9 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import disturbance_score, parse_event_time, risk_band, rounded
 from ..schema import SNAPSHOT
+from .once import computed_once
 
 MICROS = 1_000_000
 MIN_SECONDS = 60
@@ -47,11 +49,16 @@ def window_seconds(minutes: int) -> int:
 
 def live_rows(df: DataFrame) -> DataFrame:
     """The columns a trailing window needs, with the time in microseconds as ``us``."""
-    when = parse_event_time(F.col("time_tag"), df.schema["time_tag"].dataType)
-    return (
-        df.select("time_tag", "speed", "density", "bt", F.unix_micros(when).alias("us"))
-        .where("us is not null and speed is not null and density is not null and bt is not null")
+    dtype = df.schema["time_tag"].dataType
+    us = F.unix_micros(parse_event_time(F.col("time_tag"), dtype))
+    rows = df.select("time_tag", "speed", "density", "bt").where(
+        "speed is not null and density is not null and bt is not null"
     )
+    if isinstance(dtype, T.StringType):
+        rows = computed_once(rows, "us", us)
+    else:
+        rows = rows.withColumn("us", us)
+    return rows.where(F.col("us").isNotNull())
 
 
 def ticks_of(rows: DataFrame) -> DataFrame:
