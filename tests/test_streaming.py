@@ -167,6 +167,13 @@ def test_late_rows_see_their_own_window(feed, tmp_path):
     assert found == {300.0: 1, 400.0: 2, 500.0: 1, 600.0: 1, 700.0: 2}
 
 
+def test_a_batch_without_usable_rows(feed, tmp_path):
+    feed.add(record("garbage"))
+    assert run_rolling(feed, tmp_path).count() == 0
+    feed.add(minute(1), minute(2))
+    assert sorted(r["window_size"] for r in run_rolling(feed, tmp_path).collect()) == [1, 2]
+
+
 def test_repeated_batch_replaces_its_snapshots(spark, tmp_path):
     path = str(tmp_path / "live")
     snapshots = rolling_snapshot(records(spark, ("2026-01-01T00:00:00Z",), ("2026-01-01T00:01:00Z",)))
