@@ -30,8 +30,8 @@ SPACE = regex.compile("[\t-\r \x85\xa0  -     　]+")
 _CONTROLS = regex.compile("[\x1c-\x1f]")
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 WORD_END = "</w>"
-#: Words and pairs that a worker keeps; beyond that it starts afresh.
-CACHE_WORDS, CACHE_PAIRS = 250_000, 500_000
+#: Words and pairs that a worker keeps in each generation of its caches.
+CACHE_WORDS, CACHE_PAIRS = 120_000, 500_000
 #: Code points of texts whose new words are learnt in one step, about.
 GROUP_CHARS = 1 << 20
 MERGE_ROWS = 2048
@@ -102,8 +102,10 @@ class Codec:
         self.longest = max(map(len, self.ids))
         self.letters = byte_letters()
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        # two generations of each cache: what is used again outlives the older one
         self.chunks: dict[str, tuple[bytes, str]] = {}
         self.words: dict[str, list[int]] = {}
+        self.old_chunks, self.old_words = self.chunks, self.words
         self.fits: dict[int, bool] = {}
 
     def _symbols(self, letters: str, ends: bool) -> list[int]:
@@ -207,12 +209,15 @@ class Codec:
 
     def _learn(self, new: list[str]) -> None:
         if len(self.words) > CACHE_WORDS:
-            self.words = {}
-        found = [[c] if c in self.special else WORD.findall(c) for c in new]
+            self.words, self.old_words = {}, self.words
         self.words |= {s: [i] for s, i in self.special.items()}
-        words = list({w for ws in found for w in ws if w not in self.words})
+        found = [[c] if c in self.special else WORD.findall(c) for c in new]
+        words = {w for ws in found for w in ws}.difference(self.words)
+        for w in words.intersection(self.old_words):
+            self.words[w] = self.old_words[w]
+            words.remove(w)
         if words:
-            self.learn_words(words)
+            self.learn_words(list(words))
         for chunk, ws in zip(new, found, strict=True):
             ids = [i for w in ws for i in self.words[w]]
             self.chunks[chunk] = (array("I", ids).tobytes(), " ".join([self.names[i] for i in ids]))
@@ -232,11 +237,13 @@ class Codec:
     def _group(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         cut = [self.cut.split(t) if any(s in t for s in self.special) else [t] for t in texts]
         split = [[[p] if p in self.special else self.split(p) for p in parts] for parts in cut]
-        new = {c for parts in split for chunks in parts for c in chunks if c not in self.chunks}
+        if len(self.chunks) > CACHE_WORDS:
+            self.chunks, self.old_chunks = {}, self.chunks
+        new = {c for parts in split for chunks in parts for c in chunks}.difference(self.chunks)
+        for c in new.intersection(self.old_chunks):
+            self.chunks[c] = self.old_chunks[c]
+            new.remove(c)
         if new:
-            if len(self.chunks) > CACHE_WORDS:
-                self.chunks = {}
-                new = {c for parts in split for chunks in parts for c in chunks}
             self._learn(list(new))
         known = self.chunks
         for parts in split:

@@ -8,7 +8,6 @@ Defined cases: null is the empty text, which is its end token alone; rows that s
 packed as documents of their own; a shard's last sequence may stay short.
 """
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 from zlib import crc32
@@ -18,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helio.llm.bpe import GROUP_CHARS, byte_letters
+from helio.llm.bpe import byte_letters
 from helio.llm.common import table
 
 WINDOW = 2048
@@ -26,11 +25,8 @@ END_ID = 1
 #: Documents of a shard of the index, about.
 SHARD_DOCUMENTS = 1024
 K1, B = 1.2, 0.75
-#: Parts of texts whose ids a worker keeps; beyond that it starts afresh.
-CACHE_PARTS = 300_000
 #: Fixed value: how byte-level vocabularies of this kind split text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_OPEN_SPACE = re.compile(r" (?:\s|$)")
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -38,13 +34,7 @@ PIECES = (
 
 
 class Tokens:
-    """Ids of whole texts under a byte-level vocabulary, by its fast implementation.
-
-    A space before a character that is no white space starts a token, so the parts that begin there
-    are independent: each is encoded once and kept. New parts of a text are encoded together and
-    told apart by the bytes of their tokens. Texts that hold a special token, or a space before
-    white space, are encoded whole.
-    """
+    """Ids of whole texts under a byte-level vocabulary, by its fast implementation."""
 
     def __init__(self, path: str):
         import tiktoken
@@ -53,48 +43,15 @@ class Tokens:
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         back = {letter: b for b, letter in enumerate(byte_letters())}
-        ranks = {bytes(map(back.__getitem__, t)): i for t, i in self.library.get_vocab(with_added_tokens=False).items()}
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        ranks = {bytes(map(back.__getitem__, t)): i for t, i in vocabulary.items() if t not in self.special}
         self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.sizes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
-        self.sizes[list(ranks.values())] = list(map(len, ranks))
-        self.parts: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """For each text its ids as little-endian 32-bit integers."""
-        lo, size = 0, 0
-        for i, text in enumerate(texts):
-            size += len(text)
-            if size > GROUP_CHARS or i == len(texts) - 1:
-                yield from self._group(texts[lo : i + 1])
-                lo, size = i + 1, 0
-
-    def _group(self, texts: list[str]) -> Iterator[bytes]:
-        split = [None if _OPEN_SPACE.search(t) or any(s in t for s in self.special) else t.split(" ") for t in texts]
-        new = {p for parts in split if parts for p in parts[1:] if p not in self.parts}
-        if new:
-            if len(self.parts) > CACHE_PARTS:
-                self.parts = {}
-                new = {p for parts in split if parts for p in parts[1:]}
-            self._learn(list(new))
-        for text, parts in zip(texts, split, strict=True):
-            if parts:
-                yield self._fast(parts[0]).tobytes() + b"".join([self.parts[p] for p in parts[1:]])
-            elif any(s in text for s in self.special):
-                yield np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-            else:
-                yield self._fast(text).tobytes()
-
-    def _fast(self, text: str) -> np.ndarray:
-        return np.asarray(self.fast.encode_to_numpy(text), dtype="<u4")
-
-    def _learn(self, new: list[str]) -> None:
-        ids = self._fast("".join([" " + p for p in new]))
-        wide = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in new])
-        stops = np.searchsorted(np.cumsum(self.sizes[ids]), wide) + 1
-        data, lo = ids.tobytes(), 0
-        for p, hi in zip(new, (4 * stops).tolist(), strict=True):
-            self.parts[p] = data[lo:hi]
-            lo = hi
+
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian 32-bit integers; a text that holds a special token goes to the library."""
+        if any(s in text for s in self.special):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return np.asarray(self.fast.encode_to_numpy(text), dtype="<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -109,7 +66,7 @@ def tokenised(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "t
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, end = tokens(path), END_ID.to_bytes(4, "little")
         for frame in frames:
-            data = [d + end for d in own.encode([t if isinstance(t, str) else "" for t in frame["text"]])]
+            data = [(own.encode(t) if isinstance(t, str) else b"") + end for t in frame["text"]]
             yield pd.DataFrame(
                 {
                     "doc_id": frame["doc_id"].astype("Int64"),
