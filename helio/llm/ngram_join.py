@@ -32,6 +32,9 @@ PERCENT = 85
 #: Documents of a tile of a cluster.
 TILE = 512
 FANOUT = 8
+#: Counters of shingles over all documents. A shingle is common if its counter is above the mean by
+#: ten standard deviations and this many.
+LOG_COUNTERS, SEGMENTS, LEAST_COMMON = 20, 16, 30
 #: Bits of a bitmap for each shingle of the largest set of a tile, and bits at most.
 BITS_A_SHINGLE, MAX_BITS = 8, 1 << 16
 
@@ -79,10 +82,10 @@ class Parts:
         return np.searchsorted(self.tops, sizes)
 
     def number(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Parts of a class' partition, and how many of a set's may be empty.
+        """Parts of a class' partition, and how many of a set's may be weak.
 
         Linked sets of at most ``top`` shingles differ in at most ``most``. With some parts more
-        than that, an equal part is not empty, unless both sets have more empty parts than these.
+        than that, an equal part is not weak, unless both sets have more weak parts than these.
         """
         self._grown(self.tops[int(level.max(initial=0))] * 2)
         while len(self.tops) <= level.max(initial=0):
@@ -92,13 +95,19 @@ class Parts:
         spare = np.where(most == 0, 0, np.where(most < 19, 1 + (most + 1) // 10, 3 + (most + 1) // 50))
         return most + 1 + spare, spare
 
-    def signatures(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Signatures of parts, and which set each is of."""
+    def signatures(self, sets: list[np.ndarray], common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures of parts, and which set each is of.
+
+        A part without any but common shingles is weak: it would bring together all documents that
+        share a passage. Equal parts are weak in both sets, so weak parts are left out unless a set
+        has more of them than may be missing.
+        """
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
         some = np.flatnonzero(sizes)
         if not len(some):
             return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         flat, own = np.concatenate([sets[i] for i in some]), self.classes(sizes[some])
+        rare = ~common[_counter(flat)]
         out, owner = [], []
         for up in (0, 1):
             level = own + up
@@ -111,34 +120,79 @@ class Parts:
             low = np.bincount(at, weights=(spread & np.uint64(0xFFFFFFFF)).astype(float), minlength=first[-1])
             high = np.bincount(at, weights=(flat >> np.uint64(32)).astype(float), minlength=first[-1])
             filled = np.bincount(at, minlength=first[-1])
+            telling = np.bincount(at, weights=rare, minlength=first[-1])
             doc = np.repeat(np.arange(len(some)), number)
             place = np.arange(first[-1]) - first[doc]
             label = mix(seed[doc] + place.astype(np.uint64))
             signature = mix(mix(low.astype(np.uint64) + label) + high.astype(np.uint64) * _TURNS[1] + filled.astype(np.uint64))
-            empty = np.bincount(doc, weights=filled == 0, minlength=len(some))
-            use = (filled > 0) | (empty > spare)[doc]
+            weak = np.bincount(doc, weights=telling == 0, minlength=len(some))
+            use = (telling > 0) | (weak > spare)[doc]
             out.append(signature[use])
             owner.append(some[doc[use]])
         return np.concatenate(out), np.concatenate(owner)
 
 
+def _counter(sets: np.ndarray) -> np.ndarray:
+    """The counter of each shingle in the table of counts."""
+    return (sets >> np.uint64(64 - LOG_COUNTERS)).astype(np.int64)
+
+
 def _stats(size: int):
+    """A row for each document, and at a task's end rows with its counts of shingles by counter."""
+
     def figures(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(1 << LOG_COUNTERS, dtype=np.uint32)
         for frame in frames:
-            rows = []
-            for s in shingle_sets(utf8(frame["text"]), size):
-                rows.append((len(s), int(np.sum(s).view(np.int64)), int(np.bitwise_xor.reduce(mix(s)).view(np.int64))) if len(s) else (0, 0, 0))
-            yield pd.DataFrame(rows, columns=["n_shingles", "d1", "d2"]).assign(doc_id=frame["doc_id"].to_numpy())
+            rows, data = [], utf8(frame["text"])
+            for s in shingle_sets(data, size):
+                if len(s):
+                    rows.append((len(s), int(np.sum(s).view(np.int64)), int(np.bitwise_xor.reduce(mix(s)).view(np.int64))))
+                    np.add.at(counts, _counter(s), np.uint32(1))
+                else:
+                    rows.append((0, 0, 0))
+            yield pd.DataFrame(rows, columns=["n_shingles", "d1", "d2"]).assign(
+                doc_id=frame["doc_id"].to_numpy(), segment=-1, counts=None
+            )
+        for k, part in enumerate(counts.reshape(SEGMENTS, -1)):
+            if part.any():
+                yield pd.DataFrame(
+                    {"n_shingles": [0], "d1": [0], "d2": [0], "doc_id": [0], "segment": [k], "counts": [part.tobytes()]}
+                )
 
     return figures
 
 
-def _signed(parts: Parts, size: int):
+def _added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    total: dict[int, np.ndarray] = {}
+    for frame in frames:
+        for k, part in zip(frame["segment"], frame["counts"], strict=True):
+            one = np.frombuffer(part, dtype=np.uint32)
+            total[k] = total[k] + one if k in total else one.astype(np.uint64)
+    for k, part in total.items():
+        yield pd.DataFrame({"segment": [k], "counts": [part.tobytes()]})
+
+
+def common_counters(counts: DataFrame) -> np.ndarray:
+    """Which counters hold a shingle of very many documents: far above the mean of all counters.
+
+    The table of counts has a fixed size, and so has what reaches the driver.
+    """
+    merged = (
+        counts.repartition(SEGMENTS, "segment").mapInPandas(_added, "segment int, counts binary").toLocalIterator()
+    )
+    total = np.zeros((SEGMENTS, (1 << LOG_COUNTERS) // SEGMENTS))
+    for row in merged:
+        total[row["segment"]] = np.frombuffer(row["counts"], dtype=np.uint64)
+    mean = total.mean()
+    return (total > mean + 10 * np.sqrt(mean) + LEAST_COMMON).reshape(-1)
+
+
+def _signed(parts: Parts, common: np.ndarray, size: int):
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             data, ids = utf8(frame["text"]), frame["doc_id"].to_numpy(dtype=np.int64)
             for lo, hi in blocks(data, 4 << 20):
-                signature, owner = parts.signatures(list(shingle_sets(data[lo:hi], size)))
+                signature, owner = parts.signatures(list(shingle_sets(data[lo:hi], size)), common)
                 docs = ids[lo:hi][owner]
                 # of documents that share a signature here, one keeps it and the others meet that one
                 order = np.argsort(signature, kind="stable")
@@ -317,9 +371,12 @@ def _tile_links(percent: int):
 def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT):
     """Sizes of all sets by doc_id, and ``node, component`` of the linked documents."""
     rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    stats = materialize(
-        rows.mapInPandas(_stats(size), "n_shingles long, d1 long, d2 long, doc_id long"), "shingle-counts"
+    counted = materialize(
+        rows.mapInPandas(_stats(size), "n_shingles long, d1 long, d2 long, doc_id long, segment int, counts binary"),
+        "shingle-counts",
     )
+    stats = counted.where("segment < 0").select("doc_id", "n_shingles", "d1", "d2")
+    common = common_counters(counted.where("segment >= 0").select("segment", "counts"))
     copies = (
         stats.where("n_shingles > 0")
         .groupBy("n_shingles", "d1", "d2")
@@ -327,16 +384,15 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     )
     some = copies.where("most > rep").select("n_shingles", "d1", "d2", "rep")
     same = stats.join(some, ["n_shingles", "d1", "d2"]).where("doc_id > rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    parts = Parts(percent)
     clusters = components(
-        rows.mapInPandas(_signed(parts, size), "signature long, doc_id long")
+        rows.mapInPandas(_signed(Parts(percent), common, size), "signature long, doc_id long")
         .repartition("signature")
         .sortWithinPartitions("signature")
         .mapInPandas(_stars, "u long, v long")
     )
     reps = clusters.join(copies.select("rep"), F.col("node") == F.col("rep"), "left_semi")
-    counted = reps.groupBy("component").agg(F.count("*").alias("c")).where("c > 1")
-    members = materialize(reps.join(counted, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "c"), "clusters")
+    several = reps.groupBy("component").agg(F.count("*").alias("c")).where("c > 1")
+    members = materialize(reps.join(several, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "c"), "clusters")
     sets = materialize(
         rows.join(members, "doc_id").mapInPandas(_with_sets(size), "doc_id long, cluster long, c long, shingles binary"),
         "shingle-sets",
@@ -347,7 +403,7 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     found = _joined(tiled.select("doc_id", "shingles", F.col("doc_id").alias("root"), F.lit(1).alias("side"), _work("cluster", "tile")), percent)
     if members.where(F.col("c") > TILE).limit(1).count():
         found = materialize(found, "tile-links")
-        found = found.unionByName(_across(tiled.where("m > 1"), found, percent))
+        found = found.unionByName(_across(tiled.where("m > 1").drop("shingles"), sets.select("doc_id", "shingles"), found, percent))
     return stats, components(same.unionByName(found))
 
 
@@ -360,38 +416,40 @@ def _joined(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _rooted(tiled: DataFrame, found: DataFrame) -> DataFrame:
-    return tiled.join(components(found), F.col("doc_id") == F.col("node"), "left").withColumn(
-        "root", F.coalesce("component", "doc_id")
-    ).drop("node", "component")
+    joined = tiled.join(components(found), F.col("doc_id") == F.col("node"), "left")
+    return materialize(joined.withColumn("root", F.coalesce("component", "doc_id")).drop("node", "component"), "rooted")
 
 
-def _across(tiled: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Links between tiles of the clusters that have several."""
-    rooted = materialize(_rooted(tiled, found), "rooted")
+def _across(tiled: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Links between tiles of the clusters that have several; sets are fetched for open cases only."""
     # one document of each component stands for it in a first round, dealt to tiles anew
-    heads = rooted.where("doc_id = root")
-    some = heads.groupBy("cluster").agg(F.count("*").alias("heads"))
+    heads = _rooted(tiled, found).where("doc_id = root")
+    some = heads.groupBy("cluster").agg(F.count("*").alias("heads")).where("heads > 1")
     dealt = heads.join(some, "cluster").withColumn(
         "deal", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.ceil(F.col("heads") / TILE)).cast("int")
     )
-    first = materialize(
-        _joined(dealt.select("doc_id", "shingles", "root", F.lit(1).alias("side"), _work("cluster", "deal")), percent), "head-links"
-    )
-    rooted = materialize(_rooted(tiled, found.unionByName(first)), "rooted")
+    work = dealt.select("doc_id", "root", F.lit(1).alias("side"), _work("cluster", "deal")).join(sets, "doc_id")
+    first = materialize(_joined(work, percent), "head-links")
+    rooted = _rooted(tiled, found.unionByName(first))
     # two documents that are not connected are not both of the largest component
     sizes = rooted.groupBy("cluster", "root").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    few = sizes.join(largest, "cluster").where("root <> main").groupBy("cluster").agg(F.sum("n").alias("few"), F.first("main").alias("main"))
-    open_ = rooted.join(few, "cluster").withColumn("k", F.ceil(F.col("few") / TILE).cast("int"))
+    largest = sizes.groupBy("cluster").agg(F.max(F.struct("n", "root")).alias("top"))
+    few = (
+        sizes.join(largest, "cluster")
+        .where("root <> top.root")
+        .groupBy("cluster")
+        .agg(F.sum("n").alias("few"), F.first("top.root").alias("main"))
+    )
+    still = rooted.join(few, "cluster").withColumn("k", F.ceil(F.col("few") / TILE).cast("int"))
     minor = (
-        open_.where("root <> main")
+        still.where("root <> main")
         .withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("k")).cast("int"))
         .withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
         .withColumn("side", F.lit(1))
     )
-    rest = open_.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("side", F.lit(0))
-    names = ["doc_id", "shingles", "root", "side", _work("cluster", "part", "tile")]
-    second = _joined(minor.select(*names).unionByName(rest.select(*names)), percent)
+    rest = still.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("side", F.lit(0))
+    names = ["doc_id", "root", "side", _work("cluster", "part", "tile")]
+    second = _joined(minor.select(*names).unionByName(rest.select(*names)).join(sets, "doc_id"), percent)
     return first.unionByName(second)
 
 
