@@ -250,9 +250,9 @@ SQL = """
 WITH RECURSIVE vectors AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
 ), usable AS (
-  SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, x -> x * x))) AS norm FROM vectors
-  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(e, x -> x <> 0)) > 0
+  SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM vectors
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
 ), links AS (
   SELECT a.vec_id AS u, b.vec_id AS v FROM usable a JOIN usable b
     ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)

@@ -483,10 +483,10 @@ SQL = r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[ \t-\r]+'), x -> x <> '') AS w FROM documents
+    '[ \t-\r]+'), lambda x: x <> '') AS w FROM documents
 ), sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' '))) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
   FROM docs
 ), sizes AS (SELECT doc_id, len(s) AS n FROM sets),
 items AS (SELECT doc_id, unnest(s) AS g FROM sets),
