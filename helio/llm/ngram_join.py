@@ -394,7 +394,7 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     several = reps.groupBy("component").agg(F.count("*").alias("c")).where("c > 1")
     members = materialize(reps.join(several, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "c"), "clusters")
     sets = materialize(
-        rows.join(members, "doc_id").mapInPandas(_with_sets(size), "doc_id long, cluster long, c long, shingles binary"),
+        rows.join(members.hint("merge"), "doc_id").mapInPandas(_with_sets(size), "doc_id long, cluster long, c long, shingles binary"),
         "shingle-sets",
     )
     tiled = sets.withColumn("m", F.ceil(F.col("c") / TILE).cast("int")).withColumn(
