@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.aggregates import benchmark_stats
-from .operators.normalize import normalize_payloads, normalize_rows
+from .operators.normalize import normalize_payloads, normalize_rows, rejected_payloads
 from .operators.serving import latest_snapshots, serving_merge, serving_view
 from .plans.batch import write_batch_outputs
 from .session import build_session
@@ -40,7 +40,9 @@ def _options(pairs: list[str]) -> dict[str, str]:
 
 
 def _trigger(args: argparse.Namespace) -> dict:
-    return {"availableNow": True} if args.once else {}
+    if args.once:
+        return {"availableNow": True}
+    return {"processingTime": f"{args.trigger_seconds} seconds"} if args.trigger_seconds else {}
 
 
 def _raw_stream(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -52,7 +54,7 @@ def _raw_stream(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def batch(spark: SparkSession, args: argparse.Namespace) -> None:
     observations = read_observations(spark, args.input, args.format)
-    write_batch_outputs(observations, args.output, args.keep_rejects)
+    write_batch_outputs(observations, args.output, not args.drop_rejects)
 
 
 def windows(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -72,6 +74,9 @@ def snapshots(spark: SparkSession, args: argparse.Namespace) -> None:
         args.checkpoint,
         args.window_minutes,
         args.delay,
+        rejects=lambda refused, batch_id: refused.withColumn("batch_id", F.lit(batch_id))
+        .write.mode("append")
+        .json(spark_uri(f"{args.output.rstrip('/')}-rejects")),
         **_trigger(args),
     ).awaitTermination()
 
@@ -90,6 +95,9 @@ def produce(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         raw = spark.read.text(spark_uri(args.input), wholetext=True).withColumn("arrival", now)
         rows = normalize_payloads(raw, "value", "arrival")
+        if args.output:
+            refused = rejected_payloads(raw, "value")
+            refused.write.mode("append").json(spark_uri(f"{args.output.rstrip('/')}-rejects"))
     if args.format == "text":
         write_json_lines(rows, args.output)
     else:
@@ -129,12 +137,13 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--starting-position", default="LATEST", choices=("LATEST", "TRIM_HORIZON"))
         sub.add_argument("--payload-column", default="value")
         sub.add_argument("--option", action="append", default=[], help="connector option, name=value")
+        sub.add_argument("--trigger-seconds", type=int, help="seconds between micro-batches")
         sub.add_argument("--once", action="store_true", help="stop when all present data is done")
         return sub
 
     sub = command(batch, "input", "output")
     sub.add_argument("--format", default="csv")
-    sub.add_argument("--keep-rejects", action="store_true")
+    sub.add_argument("--drop-rejects", action="store_true", help="write no table of unusable rows")
 
     sub = stream(command(windows, "output", "checkpoint"))
     sub.add_argument("--delay", type=int, default=DEFAULT_DELAY, help="seconds a record may be late")

@@ -61,6 +61,16 @@ def live_rows(df: DataFrame) -> DataFrame:
     return rows.where(F.col("us").isNotNull())
 
 
+def rejected_rows(df: DataFrame) -> DataFrame:
+    """What ``live_rows`` leaves out, with the reason."""
+    measures = F.col("speed").isNull() | F.col("density").isNull() | F.col("bt").isNull()
+    unread = parse_event_time(F.col("time_tag"), df.schema["time_tag"].dataType).isNull()
+    reason = F.when(measures, "measure").when(unread, "time")
+    return df.select(
+        F.col("time_tag").cast("string"), "speed", "density", "bt", reason.alias("reason")
+    ).where(F.col("reason").isNotNull())
+
+
 def ticks_of(rows: DataFrame) -> DataFrame:
     """One row per distinct time; many records of one time are combined before the shuffle."""
     return rows.groupBy("us").agg(

@@ -15,7 +15,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def build_session(app_name: str) -> SparkSession:
-    return configure(SparkSession.builder.appName(app_name).getOrCreate())
+    store = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    builder = SparkSession.builder.appName(app_name)
+    builder = builder.config("spark.sql.streaming.stateStore.providerClass", store)
+    return configure(builder.getOrCreate())
 
 
 def shared_path(spark: SparkSession, purpose: str) -> str:

@@ -29,17 +29,27 @@ def _csv_schema(spark: SparkSession, path: str, schema: T.StructType) -> T.Struc
 
 
 def read_observations(
-    spark: SparkSession, path: str, fmt: str = "csv", typed: bool = True
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    typed: bool = True,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """Observations from files. CSV types are fixed, not guessed from the content.
 
-    With ``typed=False`` every CSV column stays text, for ``normalize_rows``.
+    With ``typed=False`` every CSV column stays text, for ``normalize_rows``. ``corrupt`` names a
+    column for the whole line where a value of it cannot be read. Files whose header differs from
+    the first one's, in names or order, raise an error instead of being read by position.
     """
     uri = spark_uri(path)
     if fmt != "csv":
         return spark.read.format(fmt).load(uri)
     schema = _csv_schema(spark, uri, OBSERVATION if typed else T.StructType([]))
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(uri)
+    reader = spark.read.options(**CSV_OPTIONS, enforceSchema=False)
+    if corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    return reader.schema(schema).csv(uri)
 
 
 def stream_files(

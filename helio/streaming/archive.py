@@ -12,13 +12,16 @@ PARTITIONS = ("year", "month", "day", "hour")
 
 
 def decode_records(df: DataFrame, data: str = "data", arrival: str = "arrival_ts") -> DataFrame:
-    """Base64 records as text lines with the calendar columns of their arrival."""
+    """Base64 records as text lines with the calendar columns of their arrival.
+
+    An archive keeps everything: what is no base64 stays as it came, null as an empty line.
+    """
     text = F.try_to_binary(F.col(data), F.lit("base64")).cast("string")
     formats = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
     return df.select(
-        text.alias("value"),
+        F.coalesce(text, F.col(data).cast("string"), F.lit("")).alias("value"),
         *[F.date_format(arrival, formats[name]).alias(name) for name in PARTITIONS],
-    ).where(F.col("value").isNotNull())
+    )
 
 
 def archive_batch(df: DataFrame, path: str, **names: str) -> None:

@@ -19,6 +19,7 @@ from ..operators.trailing import (
     attach_stats,
     live_rows,
     merge_ticks,
+    rejected_rows,
     ticks_of,
     trailing_stats,
     window_seconds,
@@ -28,6 +29,9 @@ from .windows import DEFAULT_DELAY
 
 Sink = Callable[[DataFrame, int], None]
 
+#: Seconds that a record's time may be ahead of its arrival; one beyond that has a wrong clock.
+DEFAULT_LEAD = 86_400
+
 
 class _TickStore:
     """Ticks of the recent past in two folders used in turn.
@@ -46,26 +50,36 @@ class _TickStore:
         if batch_id == 0:
             return None
         stored = spark.read.parquet(self._folder(batch_id - 1))
-        return stored.where(F.col("batch_id") == batch_id - 1).drop("batch_id")
+        if stored.where(F.col("batch_id") != batch_id - 1).limit(1).count():
+            raise RuntimeError(f"{self._folder(batch_id - 1)} is not of batch {batch_id - 1}")
+        return stored.drop("batch_id")
 
     def save(self, ticks: DataFrame, batch_id: int) -> None:
         marked = ticks.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         marked.write.mode("overwrite").parquet(self._folder(batch_id))
 
 
+def _refused(rows: DataFrame, reason: str) -> DataFrame:
+    return rows.select(F.col("time_tag").cast("string"), "speed", "density", "bt", F.lit(reason).alias("reason"))
+
+
 def start_rolling_snapshots(
     df: DataFrame,
     sink: Sink,
     checkpoint: str,
     minutes: int = 5,
     delay: int = DEFAULT_DELAY,
+    lead: int | None = DEFAULT_LEAD,
+    rejects: Sink | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Give ``sink`` a snapshot per record, micro-batch by micro-batch.
 
     A record's window holds what has arrived up to its batch with a time in
     ``[t - W, t]``. Records more than ``delay`` seconds older than the newest of earlier
-    batches are dropped, as their window may have been forgotten.
+    batches are left out, as their window may have been forgotten. So are records more than
+    ``lead`` seconds ahead of their arrival, which would make all others late. ``rejects`` is given
+    both, and those without a readable time or a measure, with the reason.
     """
     span = window_seconds(minutes) * MICROS
     root = spark_uri(checkpoint).rstrip("/")
@@ -75,7 +89,15 @@ def start_rolling_snapshots(
         # the sink and the store both need the batch; its source is read once
         rows = live_rows(batch).persist()
         try:
-            step(rows, batch_id)
+            if rejects:
+                rejects(rejected_rows(batch), batch_id)
+            if lead is None:
+                step(rows, batch_id)
+            else:
+                ahead = F.unix_micros(F.current_timestamp()) + lead * MICROS
+                if rejects:
+                    rejects(_refused(rows.where(F.col("us") > ahead), "ahead"), batch_id)
+                step(rows.where(F.col("us") <= ahead), batch_id)
         finally:
             rows.unpersist()
 
@@ -86,6 +108,8 @@ def start_rolling_snapshots(
         else:
             newest = history.agg(F.max("us")).scalar()
             floor = F.coalesce(newest - delay * MICROS, F.lit(-(2**63)))
+            if rejects:
+                rejects(_refused(rows.where(F.col("us") < floor), "late"), batch_id)
             rows = rows.where(F.col("us") >= floor)
             ticks = merge_ticks(ticks_of(rows).unionByName(history))
         horizon = ticks.agg(F.max("us") - (span + delay * MICROS)).scalar()

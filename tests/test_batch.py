@@ -19,6 +19,19 @@ from helio.plans.batch import write_batch_outputs
 from helio.sources import OutputLayout, read_document, read_observations, read_output, write_json_lines
 from tests.samples import records, sample
 
+def test_csv_headers_in_two_orders_raise(spark, tmp_path):
+    for name, head in (("a", "time_tag,speed,density"), ("b", "time_tag,density,speed")):
+        (tmp_path / f"{name}.csv").write_text(f"{head}\n2026-07-25T10:00:00Z,400,5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_observations(spark, str(tmp_path)).collect()
+
+
+def test_unreadable_number_is_kept_as_a_corrupt_line(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("time_tag,speed\nt,4x0\nu,400\n")
+    rows = read_observations(spark, str(tmp_path), corrupt="line").collect()
+    assert [(r["speed"], r["line"]) for r in rows] == [(None, "t,4x0"), (400.0, None)]
+
+
 RANKS = {"p25": 470.0, "p50": 556.0, "p75": 642.0, "p90": 690.0, "p95": 705.0, "p99": 731.0}
 SUMMARY = {
     "record_count": 20,

@@ -31,9 +31,11 @@ def test_from_csv_to_served_figures(spark, tmp_path, capsys):
 
 
 def test_produce(spark, tmp_path):
+    (tmp_path / "broken.json").write_text("no payload")
     (tmp_path / "p.json").write_text('{"features": [\n{"speed": 1, "time": "t"},\n{"speed": 2}]}')
     out = str(tmp_path / "out")
-    main(["produce", "--source", "payloads", "--input", str(tmp_path / "p.json"), "--output", out])
+    main(["produce", "--source", "payloads", "--input", str(tmp_path / "*.json"), "--output", out])
+    assert spark.read.json(f"{out}-rejects").first()["payload"] == "no payload"
     rows = {r["speed"]: r["time_tag"] for r in spark.read.json(out).collect()}
     assert rows[1.0] == "t"
     assert rows[2.0].endswith("Z")

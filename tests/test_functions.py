@@ -71,6 +71,13 @@ def test_parse_event_time_texts(spark):
         " 2026-07-25T10:00:00.25 ": datetime(2026, 7, 25, 10, 0, 0, 250000),
         "2026-07-25T10": datetime(2026, 7, 25, 10),
         "2026-07-25": datetime(2026, 7, 25),
+        "20240105T101112": datetime(2024, 1, 5, 10, 11, 12),
+        "20240105T101112Z": datetime(2024, 1, 5, 10, 11, 12),
+        "20240105T101112+0130": datetime(2024, 1, 5, 8, 41, 12),
+        "2024-W01-5": datetime(2024, 1, 5),
+        "2020-W53-7": datetime(2021, 1, 3),
+        "2021-W53-1": None,
+        "2024-1-5 00:00:00": datetime(2024, 1, 5),
         "1700000000": datetime(2023, 11, 14, 22, 13, 20),
         "1700000000123": datetime(2023, 11, 14, 22, 13, 20, 123000),
         "-60": datetime(1969, 12, 31, 23, 59),

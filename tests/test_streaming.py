@@ -197,7 +197,7 @@ def test_archive(spark, tmp_path, feed):
     )
     query.awaitTermination()
     folder = tmp_path / "raw" / "year=2026" / "month=03" / "day=04" / "hour=05"
-    assert sorted(r[0] for r in spark.read.text(str(folder)).collect()) == sorted(lines)
+    assert sorted(r[0] for r in spark.read.text(str(folder)).collect()) == sorted([*lines, "%%%"])
     again = spark.createDataFrame([(base64.b64encode(b"x").decode(),)], "d string")
     archive_batch(
         again.withColumn("t", F.lit("2026-03-04 05:59:59").cast("timestamp")),
@@ -205,7 +205,7 @@ def test_archive(spark, tmp_path, feed):
         data="d",
         arrival="t",
     )
-    assert spark.read.text(str(folder)).count() == 3
+    assert spark.read.text(str(folder)).count() == 4
 
 
 def test_csv_replay(spark, tmp_path):
