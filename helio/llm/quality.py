@@ -22,7 +22,7 @@ from helio.llm.common import Words, blocks, byte_values, table, utf8
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 #: Distinct texts that train the linear scorer, at most.
-SAMPLE_TEXTS = 4000
+SAMPLE_TEXTS = 2500
 MIN_WORDS = 8
 #: A bad vote on good text is at most this times as likely as on bad text; the same for good votes.
 CHANCE = {BAD: 0.05, GOOD: 0.9}
@@ -39,7 +39,7 @@ _KIND[128:] = 0
 N_KINDS = len(KINDS) + 1
 N_TRIPLES = N_KINDS**3
 REPEAT_BUCKETS = 12
-BUCKETS = 2048
+BUCKETS = 1024
 
 _VALUES = byte_values(11)
 _BLANK = np.zeros(256, dtype=bool)
@@ -211,12 +211,12 @@ def _featured(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         data, out = utf8(texts), []
         for lo, hi in blocks(data):
             f = Figures(data[lo:hi])
-            out += [np.append(x, p).astype(np.float64) for x, p in zip(f.features(), pack(f.votes()), strict=True)]
+            out += list(f.features().astype(np.float32))
         yield pd.Series(out, dtype=object)
 
 
 vote = F.pandas_udf(_voted, VOTED)
-features = F.pandas_udf(_featured, T.ArrayType(T.DoubleType()))
+features = F.pandas_udf(_featured, T.ArrayType(T.FloatType()))
 
 
 def learn(docs: DataFrame, text: str = "text") -> Model:
@@ -239,18 +239,18 @@ def learn(docs: DataFrame, text: str = "text") -> Model:
         .where(F.col("h").bitwiseAND(F.lit((1 << 32) - 1)) < int(bound * (1 << 32)))
         .groupBy("h")
         .agg(F.min("text").alias("text"))
-        .select("h", features("text").alias("x"))
+        .select("h", features("text").alias("x"), vote("text")["pattern"].alias("pattern"))
         .toPandas()
         .sort_values("h")
         .head(SAMPLE_TEXTS)
     )
     if len(sample) < 2:
         return Model(labelling)
-    x = np.vstack(sample["x"].to_numpy())
-    y = labelling.posterior(unpack(x[:, -1].astype(np.int64)))
+    x = np.vstack(sample["x"].to_numpy()).astype(np.float32, copy=False)
+    y = labelling.posterior(unpack(sample["pattern"].to_numpy()))
     if y.max() < 0.5 or y.min() > 0.5:
         return Model(labelling)
-    return Model(labelling, fit_linear(x[:, :-1].astype(np.float32), y))
+    return Model(labelling, fit_linear(x, y))
 
 
 def scorer(model: Model):
