@@ -30,7 +30,7 @@ SHINGLE = 4
 #: Sets link if 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: Documents of a tile of a cluster.
-TILE = 512
+TILE = 2048
 FANOUT = 8
 #: Counters of shingles over all documents. A shingle is common if its counter is above the mean by
 #: ten standard deviations and this many.
@@ -92,7 +92,7 @@ class Parts:
             self._grown(self.tops[-1] + 1)
         top = np.array(self.tops)[level]
         most = 2 * top * (100 - self.percent) // (100 + self.percent)
-        spare = np.where(most == 0, 0, np.where(most < 19, 1 + (most + 1) // 10, 3 + (most + 1) // 50))
+        spare = np.where(most == 0, 0, np.where(most < 19, 1 + (most + 1) // 6, 4 + (most + 1) // 16))
         return most + 1 + spare, spare
 
     def signatures(self, sets: list[np.ndarray], common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
