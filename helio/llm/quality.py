@@ -59,6 +59,7 @@ HIGH_IS_BAD = {
 LOW_IS_BAD = {"stops": (0.015, 0.05), "letters": (0.55, 0.75)}
 LABELLERS = [*HIGH_IS_BAD, *LOW_IS_BAD]
 VOTED = T.StructType([T.StructField("pattern", T.LongType()), T.StructField("n_words", T.LongType())])
+SAMPLED = T.StructType([T.StructField("x", T.ArrayType(T.FloatType())), T.StructField("pattern", T.LongType())])
 SCORED = T.StructType(
     [
         T.StructField("score", T.DoubleType()),
@@ -206,17 +207,19 @@ def _voted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.concat(parts, ignore_index=True)
 
 
-def _featured(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _sampled(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
-        data, out = utf8(texts), []
+        data, x, patterns = utf8(texts), [], []
         for lo, hi in blocks(data):
             f = Figures(data[lo:hi])
-            out += list(f.features().astype(np.float32))
-        yield pd.Series(out, dtype=object)
+            x += list(f.features().astype(np.float32))
+            patterns += pack(f.votes()).tolist()
+        yield pd.DataFrame({"x": pd.Series(x, dtype=object), "pattern": np.array(patterns, dtype=np.int64)})
 
 
 vote = F.pandas_udf(_voted, VOTED)
-features = F.pandas_udf(_featured, T.ArrayType(T.FloatType()))
+#: Features and votes in one function: two would hold two Python workers for each task.
+sampled = F.pandas_udf(_sampled, SAMPLED)
 
 
 def learn(docs: DataFrame, text: str = "text") -> Model:
@@ -239,7 +242,8 @@ def learn(docs: DataFrame, text: str = "text") -> Model:
         .where(F.col("h").bitwiseAND(F.lit((1 << 32) - 1)) < int(bound * (1 << 32)))
         .groupBy("h")
         .agg(F.min("text").alias("text"))
-        .select("h", features("text").alias("x"), vote("text")["pattern"].alias("pattern"))
+        .select("h", sampled("text").alias("s"))
+        .select("h", "s.*")
         .toPandas()
         .sort_values("h")
         .head(SAMPLE_TEXTS)
