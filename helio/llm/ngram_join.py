@@ -7,8 +7,9 @@ holds for each node the OR of its documents' token bitmaps and the range of thei
 traversal drops node pairs whose greatest possible overlap is too small, and what is left is
 verified exactly unless it is connected already.
 
-A cluster beyond one tile is joined tile by tile first; then only documents outside its largest
-component meet all others, tile against tile.
+A cluster beyond one tile is split into bands of set sizes, as linked sets have like sizes. A band beyond
+one tile is joined tile by tile first; then only documents outside its largest component meet all
+others, tile against tile.
 
 Defined cases: a null, empty or blank text has no shingle and links with nothing; equal sets always
 link; rows that share a doc_id are one document, whose set is that of the longest text (then the
@@ -16,6 +17,7 @@ greatest); rows with a null doc_id link with nothing.
 """
 
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pandas as pd
@@ -397,16 +399,36 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
         rows.join(members.hint("merge"), "doc_id").mapInPandas(_with_sets(size), "doc_id long, cluster long, c long, shingles binary"),
         "shingle-sets",
     )
-    tiled = sets.withColumn("m", F.ceil(F.col("c") / TILE).cast("int")).withColumn(
-        "tile", F.pmod(F.xxhash64("doc_id"), F.col("m")).cast("int")
-    )
-    found = _joined(tiled.select("doc_id", "shingles", F.col("doc_id").alias("root"), F.lit(1).alias("side"), _work("cluster", "tile")), percent)
-    if members.where(F.col("c") > TILE).limit(1).count():
+    whole = sets.where(F.col("c") <= TILE).withColumn("tile", F.lit(0))
+    banded = materialize(_banded(sets, percent), "bands")
+    columns = ["doc_id", "shingles", F.col("doc_id").alias("root"), F.lit(1).alias("side"), _work("cluster", "tile")]
+    dealt = banded.join(sets.select("doc_id", "shingles"), "doc_id")
+    found = _joined(whole.select(*columns).unionByName(dealt.select(*columns)), percent)
+    if banded.where("m > 1").limit(1).count():
         found = materialize(found, "tile-links")
-        found = found.unionByName(_across(tiled.where("m > 1").drop("shingles"), sets.select("doc_id", "shingles"), found, percent))
+        found = found.unionByName(_across(banded.where("m > 1"), sets.select("doc_id", "shingles"), found, percent))
     return stats, components(same.unionByName(found))
 
 
+def _banded(sets: DataFrame, percent: int) -> DataFrame:
+    """Documents of clusters beyond one tile by bands of set sizes, each band with its tiles.
+
+    Sizes of linked sets differ by less than a band's width, so a document is in its own band and in the
+    next one, where it meets those of that band.
+    """
+    width = max(log(100 / percent), 1e-6) * (1 + 1e-6)
+    own = F.floor(F.log(F.length("shingles") / 8) / width).cast("long")
+    placed = sets.where(F.col("c") > TILE).select("doc_id", "cluster", F.explode(F.array(own, own + 1)).alias("band"))
+    several = placed.groupBy("cluster", "band").agg(F.count("*").alias("n")).where("n > 1")
+    m = F.ceil(F.col("n") / TILE).cast("int")
+    return placed.join(several, ["cluster", "band"]).select(
+        "doc_id",
+        F.concat_ws("/", F.col("cluster").cast("string"), F.col("band").cast("string")).alias("cluster"),
+        m.alias("m"),
+        F.pmod(F.xxhash64("doc_id"), m).cast("int").alias("tile"),
+    )
+
+
 def _work(*columns: str):
     return F.concat_ws(",", *[F.col(c).cast("string") for c in columns]).alias("work")
 
@@ -423,7 +445,7 @@ def _rooted(tiled: DataFrame, found: DataFrame) -> DataFrame:
 def _across(tiled: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Links between tiles of the clusters that have several; sets are fetched for open cases only."""
     # one document of each component stands for it in a first round, dealt to tiles anew
-    heads = _rooted(tiled, found).where("doc_id = root")
+    heads = _rooted(tiled, found).groupBy("cluster", "root").agg(F.min("doc_id").alias("doc_id"))
     some = heads.groupBy("cluster").agg(F.count("*").alias("heads")).where("heads > 1")
     dealt = heads.join(some, "cluster").withColumn(
         "deal", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.ceil(F.col("heads") / TILE)).cast("int")
