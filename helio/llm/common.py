@@ -13,7 +13,19 @@ from pyspark.sql import functions as F
 BLOCK_BYTES = 1 << 18
 
 
+#: Rows that Spark hands to Python at a time, at most: several copies of a batch are in memory at once.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the memory of Python workers; results do not depend on it. A lower setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
