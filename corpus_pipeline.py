@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from helio.llm import line_dedup, ngram_join, packing, quality, substring_dedup
+from helio.llm.common import small_batches
 from helio.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,26 +22,31 @@ SHINGLE, PERCENT = 5, 80
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly trained classifier does not reject."""
+    small_batches(spark)
     return quality.keep_good(docs)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that three or more documents hold stay in one of them."""
+    small_batches(spark)
     return line_dedup.clean(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    small_batches(spark)
     return ngram_join.clean(docs, size=SHINGLE, percent=PERCENT)
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages stay where they occur first."""
+    small_batches(spark)
     return substring_dedup.clean(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents left, by sequence."""
+    small_batches(spark)
     return packing.pack(docs, packing.vocabulary())
 
 
