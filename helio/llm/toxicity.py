@@ -138,30 +138,34 @@ def train(texts: list[str], labels: np.ndarray) -> Model | None:
     return Model(weights, float(bias))
 
 
-def learn(rows: DataFrame, text: str = "text", label: str = "label") -> Model | None:
-    """Fit to a bounded sample of ``rows``: of each label the texts with the smallest hashes.
+def learn(
+    rows: DataFrame, text: str = "text", label: str = "label", labels: DataFrame | None = None, doc_id: str = "doc_id"
+) -> Model | None:
+    """Fit to a bounded sample of labelled texts: of each label those with the smallest hashes.
 
-    Hashes are ranked within 64 slices first, so no task ranks all of them.
+    Labels are a column of ``rows``, or of the table ``labels`` by ``doc_id``. They meet hashes only;
+    texts are fetched for the sample alone, whose list has at most SAMPLE hashes of each label.
     """
-    usable = rows.select(F.col(text).alias("text"), F.col(label).alias("label")).where(
-        F.col("label").isin(0, 1) & (F.length("text") <= SAMPLE_CHARS)
-    )
-    hashed = usable.select("label", F.xxhash64("text").alias("h")).distinct()
+    usable = rows.where(F.length(text) <= SAMPLE_CHARS).withColumn("h", F.xxhash64(text))
+    if labels is None:
+        hashed = usable.select(F.col(label).alias("label"), "h")
+    else:
+        marks = labels.select(F.col(doc_id).alias("id"), F.col(label).alias("label"))
+        hashed = usable.select(F.col(doc_id).alias("id"), "h").join(marks, "id").select("label", "h")
+    hashed = hashed.where(F.col("label").isin(0, 1)).distinct()
     ratio = {r["label"]: SAMPLE[r["label"]] / r["n"] for r in hashed.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(ratio) < 2:
         return None
     # hashes are uniform, so those below a bound are a sample of about the size that is wanted
     bound = {k: int(min(1.0, 0.9 * v) * (1 << 32)) for k, v in ratio.items()}
     low = F.col("h").bitwiseAND(F.lit((1 << 32) - 1))
-    sample = (
-        usable.withColumn("h", F.xxhash64("text"))
-        .where(F.when(F.col("label") == 1, low < bound[1]).otherwise(low < bound[0]))
-        .groupBy("h", "label")
-        .agg(F.min("text").alias("text"))
-        .toPandas()
-        .sort_values(["label", "h"])
-    )
-    sample = sample.groupby("label").head(max(SAMPLE.values()))
+    some = hashed.where(F.when(F.col("label") == 1, low < bound[1]).otherwise(low < bound[0])).toPandas()
+    some = some.sort_values(["label", "h"])
+    chosen = pd.concat([some[some["label"] == k].head(n) for k, n in sorted(SAMPLE.items())])
+    wanted = rows.sparkSession.createDataFrame(chosen[["h"]].drop_duplicates(), "h long")
+    texts = usable.select("h", F.col(text).alias("text"))
+    found = texts.join(F.broadcast(wanted), "h").groupBy("h").agg(F.min("text").alias("text")).toPandas()
+    sample = chosen.merge(found, on="h").sort_values(["label", "h"])
     return train(sample["text"].tolist(), sample["label"].to_numpy())
 
 
@@ -207,8 +211,8 @@ def query(spark, sf_dir):
         "doc_id", "text", (fold("doc_id", 5) == 0).alias("held_out")
     )
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    rows = docs.where(~F.col("held_out")).join(labels.where("label is not null").distinct(), "doc_id")
-    scored = docs.withColumn("toxicity", scorer(learn(rows))("text"))
+    model = learn(docs.where(~F.col("held_out")), labels=labels)
+    scored = docs.withColumn("toxicity", scorer(model)("text"))
     return scored.select(
         "doc_id",
         "held_out",
