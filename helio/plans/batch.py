@@ -26,7 +26,7 @@ ROLLED_TABLES = {
 }
 
 
-def write_batch_outputs(observations: DataFrame, base: str, keep_rejects: bool = False) -> None:
+def write_batch_outputs(observations: DataFrame, base: str, keep_rejects: bool = True) -> None:
     """Write the five tables and three documents below ``base``.
 
     The observations are read three times however many outputs there are: for the

@@ -19,6 +19,7 @@ from ..operators import serving
 from ..operators.clean import (
     clean_observations,
     prepare_observations,
+    rejected_observations,
     with_calendar,
     with_event_time,
     with_score,
@@ -47,6 +48,7 @@ from ..sources import (
 from ..streaming import (
     archive_batch,
     parse_events,
+    rejected_events,
     score_events,
     start_rolling_snapshots,
     start_speed_windows,
@@ -355,6 +357,17 @@ def parsed_events(spark, sf_dir):
     return _plain_time(parsed, "event_ts")
 
 
+def refused_events(spark, sf_dir):
+    return rejected_events(_records(spark, sf_dir))
+
+
+def refused_observations(spark, sf_dir):
+    rows = _iso_obs(_obs(spark, sf_dir))
+    text = F.when(F.col("event_id") % 19 == 0, "garbage").otherwise(F.col("time_tag"))
+    refused = rejected_observations(rows.withColumn("time_tag", text))
+    return refused.select("event_id", *REQUIRED_COLUMNS)
+
+
 def emitted_events(spark, sf_dir):
     rows = _iso_obs(_obs(spark, sf_dir)).select(*REQUIRED_COLUMNS)
     sent = emit_events(rows, key="no_such_field")
@@ -516,6 +529,8 @@ QUERIES = {
     "normalize_payloads": normalize(norm.normalize_payloads),
     "rejected_payloads": rejected,
     "parse_events": parsed_events,
+    "rejected_events": refused_events,
+    "rejected_observations": refused_observations,
     "emit_events": emitted_events,
     "archive_raw": archived,
     "upsert_snapshots": upserted,

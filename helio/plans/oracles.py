@@ -235,6 +235,9 @@ WHERE event_id % 7 IN (5, 6) GROUP BY 1""",
       ("iso", "time_tag"), ("speed", "speed"), ("density", "density"),
       ("temperature", "temperature"), ("bx", "bx"), ('"by"', '"by"'), ("bz", "bz"), ("bt", "bt"),
       ("ts", "event_ts")))} FROM obs""",
+    "rejected_events": "SELECT 'not json' AS payload FROM events WHERE event_id % 17 = 0",
+    "rejected_observations": f"""WITH {OBS}, {CLEAN} SELECT event_id, 'garbage' AS time_tag, {RECORD}
+FROM cleaned WHERE event_id % 19 = 0""",
     "emit_events": f'WITH {OBS} SELECT iso AS "key", iso AS time_tag, {RECORD} FROM obs',
     "archive_raw": f"""WITH {OBS} SELECT event_id, speed, CAST(year(ts) AS INTEGER) AS "year",
   CAST(month(ts) AS INTEGER) AS "month", CAST(day(ts) AS INTEGER) AS "day",
