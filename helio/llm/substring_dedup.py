@@ -1,9 +1,12 @@
 """Substring de-duplication by content-defined chunking.
 
-A gear hash rolls over the bytes of a text; where its top bits are small enough at a word's start,
-a chunk begins. Boundaries depend on the bytes just before them only, so chunks meet again after an
-insertion. Chunks are compared by digest over all documents; runs of chunks that occurred earlier
-(in the order of doc_id and position) and are long enough are taken out.
+A gear hash rolls over the bytes of a text; a chunk begins at each word's start whose hash is the
+least of some WINDOW_WORDS word starts in a row. Of every window inside a shared passage the same start
+is chosen, and what stands around the passage adds no boundary between the first and the last of them:
+all but WINDOW_WORDS - 1 words at either end, and the words of the hash's 16 bytes at its start, is the
+same chunks. So a passage of 50 words, however it is written, has a run of at least MIN_RUN_WORDS.
+Chunks are compared by digest over all documents; runs of chunks that occurred earlier (in the order of
+doc_id and position) and are long enough are taken out.
 
 Defined cases: null stays null and empty stays empty, with no chunk; rows with a null doc_id come
 last in order, as one document; rows that share a doc_id are one document, none earlier than the
@@ -20,8 +23,8 @@ from pyspark.sql import types as T
 
 from helio.llm.common import blocks, byte_values, joined, mix, table, utf8
 
-#: One word's start in so many begins a chunk.
-WORDS_A_CHUNK = 6
+#: Word starts of a window, whose least hash begins a chunk: one word's start in six, about.
+WINDOW_WORDS = 11
 #: A chunk longer than this is cut inside words, one byte in DENSE at random, then at MAX_BYTES.
 LONG_BYTES, DENSE, MAX_BYTES = 400, 64, 1024
 #: A run of earlier chunks is taken out if it has so many words, or bytes where words are long.
@@ -43,6 +46,18 @@ def gear(flat: np.ndarray) -> np.ndarray:
     return h
 
 
+def _least(h: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Places in ``h`` that are the first least value of a window inside one text."""
+    n = len(h) - WINDOW_WORDS + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.int64)
+    low, width = (h.astype(np.int64) << 32) + np.arange(len(h)), 1
+    while 2 * width <= WINDOW_WORDS:
+        low, width = np.minimum(low[:-width], low[width:]), 2 * width
+    low = np.minimum(low[:n], low[WINDOW_WORDS - width :])
+    return np.unique(low[text[:n] == text[WINDOW_WORDS - 1 :]] & 0xFFFFFFFF)
+
+
 def _bounds(flat: np.ndarray, lo: int, hi: int, hits: np.ndarray, h: np.ndarray) -> np.ndarray:
     """Chunk starts of one text, its end last."""
     edges = np.unique(np.concatenate(([lo], hits, [hi])))
@@ -70,9 +85,9 @@ def chunked(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         start = np.zeros(len(flat), dtype=bool)
         start[1:] = blank[:-1] & ~blank[1:]
         h = gear(flat)
-        hit = np.zeros(len(flat), dtype=bool)
-        hit[1:] = h[:-1] < 65536 // WORDS_A_CHUNK
-        hits = np.flatnonzero(start & hit)
+        start[offsets[1:-1]] = False
+        begins = np.flatnonzero(start)
+        hits = begins[_least(h[begins - 1], np.searchsorted(offsets, begins, "right"))]
         start[offsets[:-1]] = ~blank[offsets[:-1]]
         words = np.append(0, np.cumsum(start))
         powers = np.full(len(flat), _ODD)

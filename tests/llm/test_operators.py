@@ -137,6 +137,21 @@ def test_substring(docs, none):
     assert substring_dedup.dedup(none).count() == 0 and substring_dedup.clean(none).columns == none.columns
 
 
+@pytest.mark.parametrize("n", [50, 55, 60])
+def test_no_passage_of_fifty_words_is_missed(n):
+    for seed in range(400):
+        passage = prose(n, 9000 + seed) if seed % 4 else " ".join(prose(n, 9000 + seed).replace(" ", "")[:n])
+        one = (prose(30, 2 * seed) + " " + passage + " " + prose(20, 5 * seed + 1)).encode()
+        two = (prose(17, 3 * seed + 70000) + " " + passage + " " + prose(25, 7 * seed + 80000)).encode()
+        (first, _, _), (digests, bounds, words) = substring_dedup.chunked([one, two])
+        gone = substring_dedup.runs(np.isin(digests, first), bounds, words)
+        assert gone.any(), (n, seed)
+        # brute force: what goes is text that the earlier document holds word for word
+        at = two.index(passage.encode())
+        inside = [k for k in np.flatnonzero(gone) if at < bounds[k] and bounds[k + 1] <= at + len(passage)]
+        assert words[inside].sum() >= 20 and two[bounds[inside[0]] : bounds[inside[-1] + 1]] in one
+
+
 def brute_winnow(text):
     tokens = re.findall(winnowing.TOKEN, text)
     k, w = winnowing.K, winnowing.WINDOW
