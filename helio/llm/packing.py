@@ -1,14 +1,19 @@
 """Packing by lexical retrieval.
 
-Full windows of a document's tokens are sequences of their own. What is left over is packed within
-shards: a shard's inverted index with BM25 weights returns the unused neighbours of a seed, which
-fill its window greedily; the neighbour that no longer fits is cut, and its rest stays to be used.
+Full windows of a document's tokens are sequences of their own. What is left over is packed with its
+neighbours: BM25 over the tokens of whole documents, with figures of the whole corpus, finds each
+document's best neighbours among all others. Every pair is scored, block by block, so the work grows
+with the square of the documents. Documents that are linked form groups, first by links that hold both
+ways; a task gets whole groups, and splits only a group beyond its bound. There an inverted index with
+the corpus's weights returns the unused neighbours of a seed, which fill its window greedily; the
+neighbour that no longer fits is cut, and its rest stays to be used.
 
 Defined cases: null is the empty text, which is its end token alone; rows that share a doc_id are
-packed as documents of their own; a shard's last sequence may stay short.
+packed as documents of their own; a task's last sequence may stay short.
 """
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from zlib import crc32
 
@@ -19,11 +24,17 @@ from pyspark.sql import functions as F
 
 from helio.llm.bpe import byte_letters
 from helio.llm.common import table
+from helio.llm.components import components
+from helio.session import materialize
 
 WINDOW = 2048
 END_ID = 1
-#: Documents of a shard of the index, about.
+#: Documents that a task packs, about; a larger group is split.
 SHARD_DOCUMENTS = 1024
+#: Neighbours kept of each document; documents of a block of scores, terms of one of its products.
+NEIGHBOURS, BLOCK_DOCUMENTS, BLOCK_TERMS = 8, 512, 4096
+#: A term that a block's pairs share oftener than one in so many is a column of a product.
+DENSE_SHARE = 200
 K1, B = 1.2, 0.75
 #: Fixed value: how byte-level vocabularies of this kind split text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -60,43 +71,231 @@ def tokens(path: str) -> Tokens:
 
 
 def tokenised(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for each document: its number of tokens, the digests of its full windows, the ids left."""
+    """A row for each document: its number of tokens, its terms, the digests of its full windows, the ids left."""
     width = 4 * WINDOW
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, end = tokens(path), END_ID.to_bytes(4, "little")
         for frame in frames:
             data = [(own.encode(t) if isinstance(t, str) else b"") + end for t in frame["text"]]
+            counts = [np.unique(np.frombuffer(d, dtype="<u4"), return_counts=True) for d in data]
             yield pd.DataFrame(
                 {
                     "doc_id": frame["doc_id"].astype("Int64"),
                     "doc_tokens": [len(d) // 4 for d in data],
+                    "terms": [t.astype("<u4").tobytes() for t, _ in counts],
+                    "tf": [n.astype("<u4").tobytes() for _, n in counts],
                     "full": [[crc32(d[i : i + width]) for i in range(0, len(d) - width + 1, width)] for d in data],
                     "rest": [d[len(d) // width * width :] for d in data],
                 }
             )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInPandas(cut, "doc_id long, doc_tokens long, full array<long>, rest binary")
+    kinds = "doc_id long, doc_tokens long, terms binary, tf binary, full array<long>, rest binary"
+    return rows.mapInPandas(cut, kinds)
+
+
+@dataclass
+class Corpus:
+    """What BM25 knows of all documents: the weight of each term, the mean number of tokens."""
+
+    idf: np.ndarray
+    mean: float
+
+    def weights(self, terms: np.ndarray, tf: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Of terms in documents; a frequent term keeps its low weight."""
+        norm = K1 * (1 - B + B * sizes / max(1.0, self.mean))
+        return self.idf[terms] * tf * (K1 + 1) / (tf + norm)
+
+
+def corpus(terms: np.ndarray, df: np.ndarray, n: int, mean: float) -> Corpus:
+    idf = np.zeros(int(terms.max()) + 1 if len(terms) else 1)
+    idf[terms] = np.log1p((n - df + 0.5) / (df + 0.5))
+    return Corpus(idf, mean)
+
+
+def figures(rows: DataFrame) -> Corpus:
+    """Counted over all documents; the driver gets a row for each token of the vocabulary at most."""
+
+    def held(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            terms, df = np.unique(np.frombuffer(b"".join(frame["terms"]), dtype="<u4"), return_counts=True)
+            yield pd.DataFrame({"term": terms.astype(np.int64), "df": df})
+
+    n, mean = rows.agg(F.count("*"), F.avg("doc_tokens")).first()
+    counted = rows.select("terms").mapInPandas(held, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    counted = counted.toPandas()
+    return corpus(counted["term"].to_numpy(dtype=np.int64), counted["df"].to_numpy(dtype=float), n, mean or 1.0)
+
+
+BLOCK = "uids binary, terms binary, docs binary, weights binary"
+
+
+class Block:
+    """Documents of a block with their terms, ordered by term, and the weight of each in its document."""
+
+    def __init__(self, uids: bytes, terms: bytes, docs: bytes, weights: bytes):
+        self.uids, self.docs = np.frombuffer(uids, dtype="<i8"), np.frombuffer(docs, dtype="<u2").astype(np.int64)
+        self.n, self.weights = len(self.uids), np.frombuffer(weights, dtype="<f4")
+        terms = np.frombuffer(terms, dtype="<u4")
+        self.first = np.flatnonzero(np.append(True, terms[1:] != terms[:-1]))
+        self.names, self.df = terms[self.first], np.diff(np.append(self.first, len(terms)))
+
+    def places(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the terms with numbers ``at``: where they stand, and which of ``at`` each is."""
+        df = self.df[at]
+        ends = np.cumsum(df)
+        return np.arange(ends[-1]) + np.repeat(self.first[at] - (ends - df), df), np.repeat(np.arange(len(at)), df)
+
+
+def blocked(rows: DataFrame, known: Corpus) -> DataFrame:
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for lo in range(0, len(frame), BLOCK_DOCUMENTS):
+                part = frame.iloc[lo : lo + BLOCK_DOCUMENTS]
+                terms, tf = (np.frombuffer(b"".join(part[c]), dtype="<u4").astype(np.int64) for c in ("terms", "tf"))
+                docs = np.repeat(np.arange(len(part)), part["terms"].map(len) // 4)
+                weights = known.weights(terms, tf, part["doc_tokens"].to_numpy()[docs]).astype("<f4")
+                order = np.argsort(terms, kind="stable")
+                some = (part["uid"].to_numpy(dtype="<i8"), terms[order].astype("<u4"), docs[order].astype("<u2"), weights[order])
+                yield pd.DataFrame({c.split()[0]: [x.tobytes()] for c, x in zip(BLOCK.split(", "), some, strict=True)})
+
+    return rows.select("uid", "doc_tokens", "terms", "tf").mapInPandas(cut, BLOCK)
+
+
+def block_scores(left: Block, right: Block) -> np.ndarray:
+    """BM25 of each document of ``right`` for each of ``left``.
+
+    Terms that many pairs share are products of dense matrices of bounded width, others are added pair by pair.
+    """
+    out = np.zeros((left.n, right.n), dtype=np.float32)
+    _, a, b = np.intersect1d(left.names, right.names, assume_unique=True, return_indices=True)
+    many = left.df[a] * right.df[b] > left.n * right.n // DENSE_SHARE
+    for lo in range(0, int(many.sum()), BLOCK_TERMS):
+        x, y = (at[many][lo : lo + BLOCK_TERMS] for at in (a, b))
+        one, two = (np.zeros((len(x), side.n), dtype=np.float32) for side in (left, right))
+        places, which = left.places(x)
+        one[which, left.docs[places]] = 1
+        places, which = right.places(y)
+        two[which, right.docs[places]] = right.weights[places]
+        out += one.T @ two
+    a, b = a[~many], b[~many]
+    if len(a):
+        places, which = left.places(a)
+        df = right.df[b][which]
+        ends = np.cumsum(df)
+        other = np.arange(ends[-1]) + np.repeat(right.first[b][which] - (ends - df), df)
+        cells = np.repeat(left.docs[places] * right.n, df) + right.docs[other]
+        out += np.bincount(cells, weights=right.weights[other], minlength=out.size).reshape(out.shape)
+    return out
+
+
+def neighbours(rows: DataFrame, known: Corpus) -> DataFrame:
+    """``u, v, score``: for each document the best of all others, of equal ones the first after it."""
+    spark = rows.sparkSession
+    packed = materialize(blocked(rows, known), "packing-blocks")
+    names = packed.columns
+
+    def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # rows with the same left block come one after another; only its best so far are held
+        last, left, v, s = None, None, None, None
+
+        def found() -> pd.DataFrame:
+            some = s > 0
+            return pd.DataFrame({"u": np.repeat(left.uids, s.shape[1])[some.ravel()], "v": v[some], "score": s[some]})
+
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                if row[0] != last:
+                    if last is not None:
+                        yield found()
+                    last, left = row[0], Block(*row[:4])
+                    v, s = np.zeros((left.n, 0), dtype=np.int64), np.zeros((left.n, 0), dtype=np.float32)
+                right = Block(*row[4:])
+                scores = block_scores(left, right)
+                scores[left.uids[:, None] == right.uids] = -1
+                s = np.hstack([s, scores])
+                v = np.hstack([v, np.broadcast_to(right.uids, scores.shape)])
+                # copies link to the copies after them in a circle, not all to the same few
+                after = (v - left.uids[:, None]).astype(np.uint64)
+                order = np.lexsort((after, -s), axis=1)[:, :NEIGHBOURS] if s.shape[1] <= 64 else _top(s, after)
+                s, v = np.take_along_axis(s, order, 1), np.take_along_axis(v, order, 1)
+        if last is not None:
+            yield found()
+
+    # the fewer partitions on the right, the fewer rows for each document are left to choose from
+    other = packed.select(*(F.col(c).alias(f"other_{c}") for c in names)).coalesce(16)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "2")  # rows here are blocks
+    try:
+        some = materialize(packed.crossJoin(other).mapInPandas(best, "u long, v long, score double"), "packing-some")
+    finally:
+        spark.conf.set(setting, before)
+    after = F.when(F.col("v") > F.col("u"), 0).otherwise(1)
+    top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), after.alias("a"), "v"))), 1, NEIGHBOURS)
+    return some.groupBy("u").agg(top.alias("t")).select("u", F.explode("t").alias("t")).select(
+        "u", "t.v", (-F.col("t.s")).alias("score")
+    )
+
+
+def _top(s: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Columns of each row's highest values, equal ones by ``after``."""
+    bound = -np.partition(-s, NEIGHBOURS - 1, axis=1)[:, NEIGHBOURS - 1]
+    out = np.empty((len(s), NEIGHBOURS), dtype=np.int64)
+    for i, b in enumerate(bound):
+        at = np.flatnonzero(s[i] >= b)
+        out[i] = at[np.lexsort((after[i, at], -s[i, at]))[:NEIGHBOURS]]
+    return out
+
+
+def _merged(groups: DataFrame, links: DataFrame, level: int) -> DataFrame:
+    """``groups`` (uid, g0, ...) with one more column: groups joined with those their best links lead to."""
+    own, new = f"g{level - 1}", f"g{level}"
+    ends = links.join(groups.select(F.col("uid").alias("u"), F.col(own).alias("a")), "u").join(
+        groups.select(F.col("uid").alias("v"), F.col(own).alias("b")), "v"
+    )
+    best = (
+        ends.where("a <> b").groupBy("a").agg(F.max_by("b", F.struct("score", F.least("a", "b"), F.greatest("a", "b"))).alias("b"))
+    )
+    joined = components(best.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    joined = joined.select(F.col("node").alias(own), F.col("component").alias(new))
+    out = groups.join(joined, own, "left").withColumn(new, F.coalesce(new, own))
+    return materialize(out.select(*groups.columns, new), "packing-groups")
+
+
+def assigned(rows: DataFrame, links: DataFrame, n: int) -> DataFrame:
+    """``uid, shard``: linked documents together, in the largest of their groups that fits a task."""
+    back = links.select(F.col("v").alias("u"), F.col("u").alias("v"), F.col("score").alias("back"))
+    mutual = links.join(back, ["u", "v"]).select("u", "v", (F.col("score") + F.col("back")).alias("score"))
+    mutual = materialize(mutual, "packing-mutual")
+    groups = rows.select("uid", F.col("uid").alias("g0"))
+    for level, some in enumerate((mutual, mutual, links), 1):
+        groups = _merged(groups, some, level)
+    for level in (1, 2, 3):
+        sizes = groups.groupBy(f"g{level}").agg(F.count("*").alias(f"n{level}"))
+        groups = groups.join(sizes, f"g{level}")
+    key = F.struct(F.lit(0), F.col("g1"), F.pmod(F.xxhash64("uid"), F.ceil(F.col("n1") / SHARD_DOCUMENTS)))
+    part = F.xxhash64(key)
+    for level in (1, 2, 3):
+        part = F.when(F.col(f"n{level}") <= SHARD_DOCUMENTS, F.xxhash64(F.lit(level), f"g{level}")).otherwise(part)
+    return groups.select("uid", F.pmod(part, F.lit(max(1, -(-n // SHARD_DOCUMENTS)))).alias("shard"))
 
 
 class Index:
-    """An inverted index over the token lists of one shard, with BM25 weights."""
+    """An inverted index over the terms of the documents of one task, with the corpus's BM25 weights."""
 
-    def __init__(self, lists: list[np.ndarray]):
+    def __init__(self, lists: list[tuple[np.ndarray, np.ndarray]], sizes: np.ndarray, known: Corpus):
         self.n = n = len(lists)
-        sizes = np.array([len(x) for x in lists], dtype=np.int64)
-        owner = np.repeat(np.arange(n), sizes)
-        codes, tf = np.unique(np.concatenate(lists).astype(np.int64) * n + owner, return_counts=True)
-        term, self.docs = codes // n, codes % n
+        owner = np.repeat(np.arange(n), [len(t) for t, _ in lists])
+        term = np.concatenate([t for t, _ in lists]).astype(np.int64)
+        order = np.argsort(term, kind="stable")
+        term, self.docs = term[order], owner[order]
+        tf = np.concatenate([x for _, x in lists])[order].astype(float)
         names, first, df = np.unique(term, return_index=True, return_counts=True)
-        # a term that over a quarter of the shard holds says little and costs most
-        keep = (df <= max(2, n // 4)) & (df > 1)
-        idf = np.where(keep, np.log1p((n - df + 0.5) / (df + 0.5)), 0.0)
-        norm = K1 * (1 - B + B * sizes / max(1.0, sizes.mean()))
-        self.weights = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[self.docs])
+        self.weights = known.weights(term, tf, sizes[self.docs])
         self.first, self.df = first, df
-        useful = np.repeat(keep, df)
+        useful = np.repeat(df > 1, df)
         number = np.repeat(np.arange(len(names)), df)[useful]
         order = np.argsort(self.docs[useful], kind="stable")
         self.terms = number[order]
@@ -113,11 +312,19 @@ class Index:
         return np.bincount(self.docs[places], weights=self.weights[places], minlength=self.n)
 
 
-def fill(lists: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
+def index_of(lists: list[np.ndarray]) -> Index:
+    """An index of token lists that are a corpus of their own."""
+    counts = [np.unique(x, return_counts=True) for x in lists]
+    sizes = np.array([len(x) for x in lists], dtype=np.int64)
+    terms, df = np.unique(np.concatenate([t for t, _ in counts]), return_counts=True)
+    return Index(counts, sizes, corpus(terms, df, len(lists), float(sizes.mean())))
+
+
+def fill(lists: list[np.ndarray], index: Index | None = None) -> list[list[tuple[int, int, int]]]:
     """Windows of (document, start, length) that hold every token of ``lists`` once."""
     if not lists:
         return []
-    index = Index(lists)
+    index = index or index_of(lists)
     left = np.array([len(x) for x in lists], dtype=np.int64)
     start = np.zeros(len(lists), dtype=np.int64)
     windows = []
@@ -141,8 +348,8 @@ def fill(lists: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
     return windows
 
 
-def _pack_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values(["doc_id", "doc_tokens"], kind="stable", na_position="last")
+def _pack_shard(key: tuple, rows: pd.DataFrame, known: Corpus) -> pd.DataFrame:
+    rows = rows.sort_values(["doc_id", "doc_tokens", "uid"], kind="stable", na_position="last")
     ids, sizes = rows["doc_id"].tolist(), rows["doc_tokens"].tolist()
     number = int(key[0]) << 36
     out = []
@@ -152,7 +359,9 @@ def _pack_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             number += 1
     some = [i for i, rest in enumerate(rows["rest"]) if len(rest)]
     data = [rows["rest"].iloc[i] for i in some]
-    for window in fill([np.frombuffer(d, dtype="<u4") for d in data]):
+    held = [tuple(np.frombuffer(rows[c].iloc[i], dtype="<u4") for c in ("terms", "tf")) for i in some]
+    index = Index(held, np.array([sizes[i] for i in some]), known) if some else None
+    for window in fill([np.frombuffer(d, dtype="<u4") for d in data], index):
         offset = 0
         for at, start, length in window:
             i = some[at]
@@ -166,10 +375,16 @@ def _pack_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The pieces of all documents: where each lies in its document and in its sequence."""
-    shards = max(1, -(-docs.count() // SHARD_DOCUMENTS))
-    rows = tokenised(docs, path, doc_id, text)
-    shard = F.pmod(F.xxhash64("doc_id", "doc_tokens", F.crc32("rest")), F.lit(shards))
-    return rows.withColumn("shard", shard).groupBy("shard").applyInPandas(_pack_shard, PIECES)
+    rows = tokenised(docs, path, doc_id, text).withColumn("uid", F.monotonically_increasing_id())
+    rows = materialize(rows, "packing-tokens")
+    known = figures(rows)
+    links = materialize(neighbours(rows, known), "packing-links")
+    shards = assigned(rows, links, rows.count())
+
+    def packed(key: tuple, some: pd.DataFrame) -> pd.DataFrame:
+        return _pack_shard(key, some, known)
+
+    return rows.join(shards, "uid").groupBy("shard").applyInPandas(packed, PIECES)
 
 
 def vocabulary() -> str:

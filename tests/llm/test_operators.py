@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 from zlib import crc32
@@ -22,7 +23,7 @@ from helio.llm import (
     toxicity,
     winnowing,
 )
-from tests.llm.conftest import SCHEMA, prose
+from tests.llm.conftest import SCHEMA, WORDS, prose
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 CLASH = ["digest", "quality", "rest", "selected", "lines", "tile", "component", "vector", "language", "n"]
@@ -245,6 +246,48 @@ def test_neighbours_share_words():
         assert len({topics[d][0] // 100 for d, _, _ in window[:2]}) == 1
 
 
+def test_neighbours_meet_across_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_DOCUMENTS", 8)
+    monkeypatch.setattr(packing, "BLOCK_DOCUMENTS", 16)
+    # 30 topics of 4 documents, dealt over 15 tasks; some documents have a full window first
+    rows, topic = [], {}
+    for i in range(120):
+        pick = random.Random(i % 30)
+        own = [f"{pick.choice(WORDS)}{pick.choice(WORDS)}{pick.choice(WORDS)}" for _ in range(40)]
+        words = [*random.Random(i).choices(own, k=60), *prose(60, i).split()]
+        random.Random(i + 1).shuffle(words)
+        rows.append((i, " ".join(words * (9 if i % 40 == 0 else 1)), "en", "s", 0))
+        topic[i] = i % 30
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    path = packing.vocabulary()
+    known = packing.materialize(packing.tokenised(docs, path).withColumn("uid", F.col("doc_id")), "test")
+    stats, links = packing.figures(known), packing.neighbours(known, packing.figures(known)).collect()
+    # brute force: BM25 over all documents, in plain Python
+    ids = {i: Counter([*packing.tokens(path).library.encode(t, add_special_tokens=False).ids, 1]) for i, t, *_ in rows}
+    df, mean = Counter(t for c in ids.values() for t in c), sum(sum(c.values()) for c in ids.values()) / len(ids)
+    assert stats.mean == pytest.approx(mean)
+    best = defaultdict(list)
+    for r in links:
+        best[r["u"]].append((r["score"], r["v"]))
+    for u in ids:
+        score = {
+            v: sum(
+                np.log1p((120 - df[t] + 0.5) / (df[t] + 0.5)) * ids[v][t] * 2.2
+                / (ids[v][t] + 1.2 * (0.25 + 0.75 * sum(ids[v].values()) / mean))
+                for t in ids[u].keys() & ids[v].keys()
+            )
+            for v in ids if v != u
+        }
+        expected = sorted(score.values(), reverse=True)[: packing.NEIGHBOURS]
+        assert [s for s, _ in sorted(best[u], reverse=True)] == pytest.approx(expected, rel=1e-4)
+        assert all(s == pytest.approx(score[v], rel=1e-4) for s, v in best[u])
+    shared = defaultdict(set)
+    for r in packing.pack(docs, path).where("length < 2048").collect():
+        shared[r["sequence_id"]].add(r["doc_id"])
+    met = {frozenset((a, b)) for some in shared.values() for a in some for b in some if a < b and topic[a] == topic[b]}
+    assert len(met) >= 0.6 * 30 * 6, len(met)
+
+
 def test_special_token_in_a_text():
     own, library = packing.tokens(packing.vocabulary()), Tokenizer.from_file(packing.vocabulary())
     for text in ("a<|endoftext|>b", "", "  two  spaces \n\n x ", "naïve 中文 😀", "it's  1234"):
