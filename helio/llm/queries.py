@@ -15,6 +15,7 @@ from helio.llm import (
     packing,
     quality,
     substring_dedup,
+    token_alignment,
     toxicity,
     winnowing,
 )
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_dedup.query,
     "op9_ngram_jaccard_join": ngram_join.query,
     "op10_bpe": bpe.query,
+    "op13_token_alignment": token_alignment.query,
 }
 
 ORACLES: dict[str, str] = {
