@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from helio.llm import (
     bpe,
+    conversation_repair,
     embedding_dedup,
     language_id,
     line_dedup,
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_dedup.query,
     "op9_ngram_jaccard_join": ngram_join.query,
     "op10_bpe": bpe.query,
+    "op11_conversation_repair": conversation_repair.query,
     "op13_token_alignment": token_alignment.query,
 }
 
