@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from helio.llm import (
     bpe,
+    chat_format,
     conversation_repair,
     embedding_dedup,
     language_id,
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_jaccard_join": ngram_join.query,
     "op10_bpe": bpe.query,
     "op11_conversation_repair": conversation_repair.query,
+    "op12_chat_format": chat_format.query,
     "op13_token_alignment": token_alignment.query,
 }
 
