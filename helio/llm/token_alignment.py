@@ -21,9 +21,9 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -46,7 +46,7 @@ LONG_RUN = re.compile(r"\S{2000}|\s{2000}")
 #: Characters of the texts of a block, about, and of the new parts that are coalesced in one step.
 BLOCK_CHARS, STEP_CHARS = 1 << 23, 1 << 16
 #: Distinct parts that a worker keeps from block to block, about.
-KEPT_PARTS = 400_000
+KEPT_PARTS = 200_000
 #: Links that one step expands, about.
 STEP_LINKS = 1 << 20
 #: A pair of ids as one number.
@@ -161,19 +161,23 @@ class Aligner:
             own[:] = [np.concatenate([*own, none])]
         return self.figures[0], self.sizes[0], self.pairs[0], self.times[0]
 
-    def number(self, parts: list[str]) -> np.ndarray:
+    def number(self, text: str) -> np.ndarray:
+        """The numbers of a text's parts; new ones get the next numbers, and are learnt later."""
         known = self.known
-        return np.fromiter(map(known.__getitem__, parts), dtype=np.int32, count=len(parts))
+        return np.array([known.setdefault(p, len(known)) for p in self.cut(text)] if text else [], dtype=np.int32)
 
-    def learn(self, parts: Iterable[str]) -> None:
-        """Encode and coalesce new parts, some ten thousand letters in one step.
+    def learn(self) -> None:
+        """Encode and coalesce new parts in their order, some ten thousand letters in one step.
 
         A part that begins with a single space and ends with a letter is encoded together with others like
         it, one behind the other, as both tokenizers cut between them.
         """
         step, size = [], 0
-        for part in parts:
+        for part in islice(self.known, len(self.whole), None):
             if len(part) > STEP_CHARS or len(part) < 2 or part[1].isspace() or part[-1].isspace() or not self.b.cuts:
+                if step:
+                    self._step(step)
+                    step, size = [], 0
                 self._step([part])
                 continue
             step.append(part)
@@ -215,7 +219,6 @@ class Aligner:
         links = n_a * n_b
         totals = [np.bincount(of, weights=x, minlength=len(parts)).astype(np.int64) for x in (np.ones(n_groups), links)]
         pair, times, held = self._pairs(ids, n_a, n_b, of, len(parts))
-        self.known |= dict(zip(parts, range(len(self.whole), len(self.whole) + len(parts)), strict=True))
         self.whole += [whole] * len(parts)
         self.groups += self._texts(ids, side, group, part, len(parts))
         self.figures.append(np.stack([*sizes, *totals], axis=1))
@@ -291,19 +294,17 @@ def _block(ids: list[int | None], texts: list[str], first: str, second: str) ->
     if len(_aligner(first, second).known) > KEPT_PARTS:
         _aligner.cache_clear()
     own = _aligner(first, second)
-    cut = [own.cut(t) if t else [] for t in texts]
-    own.learn([p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in own.known])
+    numbers = [own.number(t) for t in texts]
+    own.learn()
     figures, part_sizes, all_pairs, all_times = own.arrays()
     part_ends = np.cumsum(part_sizes)
     whole = np.array(own.whole, dtype=bool)
-    numbers, rows = [], []
-    for parts in cut:
-        mine = own.number(parts)
+    rows = []
+    for i, mine in enumerate(numbers):
         if not len(mine) or not whole[mine].all():
-            numbers.append(mine[:0])
+            numbers[i] = mine[:0]
             rows.append((0, 0, 0, 0, ""))
             continue
-        numbers.append(mine)
         said = ";".join(map(own.groups.__getitem__, mine.tolist()))
         rows.append((*figures[mine].sum(axis=0).tolist(), hashlib.sha256(said.encode()).hexdigest()))
     starts = np.concatenate(([0], np.cumsum([len(n) for n in numbers])))
@@ -403,9 +404,8 @@ def groups(docs: DataFrame, first: str, second: str, text: str = "text") -> Data
     def say(texts: pd.Series) -> pd.Series:
         own, out = Aligner(first, second), []
         for t in texts:
-            parts = own.cut(t) if isinstance(t, str) and t else []
-            own.learn(dict.fromkeys(p for p in parts if p not in own.known))
-            mine = own.number(parts).tolist()
+            mine = own.number(t if isinstance(t, str) else "").tolist()
+            own.learn()
             out.append(";".join([own.groups[i] for i in mine]) if all(own.whole[i] for i in mine) else "")
         return pd.Series(out)
 

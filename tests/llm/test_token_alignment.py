@@ -87,11 +87,13 @@ def test_groups_and_counts(spark):
 
 def test_large_group_is_expanded_in_steps(monkeypatch):
     own = token_alignment.Aligner(FIRST, SECOND)
-    own.learn([" " + "日本語テキスト🙂" * 30])
+    own.number("日本語テキスト🙂" * 30)
+    own.learn()
     whole = own.arrays()
     monkeypatch.setattr(token_alignment, "STEP_LINKS", 3)
     other = token_alignment.Aligner(FIRST, SECOND)
-    other.learn([" " + "日本語テキスト🙂" * 30])
+    other.number("日本語テキスト🙂" * 30)
+    other.learn()
     assert all((a == b).all() for a, b in zip(whole, other.arrays(), strict=True))
     assert int(whole[3].sum()) == int(whole[0][0, 3])
 
