@@ -174,19 +174,39 @@ def windows(*specs: WindowSpec):
     return query
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
-    schema = events(spark, sf_dir).schema
-    return stream_files(spark, sf_dir, "parquet", schema, pathGlobFilter="events.parquet")
+#: Files are staged part by part, each of some days, with every seventh record a part late.
+PARTS, PART_DAYS, LATE_EVERY = 5, 6, 7
+#: Seconds that records may be late: part of the late ones are in time, the others are not.
+STAGED_DELAY = 6 * 3600
+
+
+def _staged(rows: DataFrame) -> DataFrame:
+    """``rows`` of the events table with the ``part`` that brings them."""
+    own = F.least(F.lit(PARTS - 1), F.floor((F.dayofmonth("ts") - 1) / PART_DAYS))
+    late = (F.col("event_id") % LATE_EVERY == 0) & (own < PARTS - 1)
+    return rows.withColumn("part", own + late.cast("int"))
+
+
+def _replay(spark: SparkSession, sf_dir: str, base: str, start, **options) -> DataFrame:
+    """Stage the events in time order and run ``start`` on the stream of them after each part.
+
+    Each run stops when it has read all files and the next one goes on from its checkpoint.
+    """
+    staged = _staged(events(configure(spark), sf_dir))
+    for part in range(PARTS):
+        staged.where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{base}/in")
+        stream = stream_files(spark, f"{base}/in", "parquet", staged.drop("part").schema, **options)
+        start(as_observations(stream)).awaitTermination()
 
 
 def windows_stream(spark, sf_dir):
-    live = _live(as_observations(_event_stream(spark, sf_dir)))
     base = shared_path(spark, "windows")
-    query = start_speed_windows(
-        stream_speed_windows(live), f"{base}/out", f"{base}/checkpoint", availableNow=True
-    )
-    query.awaitTermination()
+
+    def start(rows: DataFrame):
+        closed = stream_speed_windows(_live(rows), delay=STAGED_DELAY)
+        return start_speed_windows(closed, f"{base}/out", f"{base}/checkpoint", availableNow=True)
+
+    _replay(spark, sf_dir, base, start)
     return _flat_windows(spark.read.parquet(f"{base}/out"))
 
 
@@ -205,16 +225,32 @@ def rolling_wide(spark, sf_dir):
     return rolling_snapshot(_iso_obs(_obs(spark, sf_dir)), minutes=180)
 
 
-def rolling_stream(spark, sf_dir):
-    live = _iso_obs(as_observations(_event_stream(spark, sf_dir)))
+def _rolling_stream(spark: SparkSession, sf_dir: str) -> str:
+    """Snapshots and refused records of the staged stream, by micro-batch."""
     base = shared_path(spark, "rolling")
 
     def sink(snapshots: DataFrame, batch_id: int) -> None:
         upsert_snapshots(snapshots, f"{base}/live", batch_id)
 
-    query = start_rolling_snapshots(live, sink, f"{base}/checkpoint", availableNow=True)
-    query.awaitTermination()
-    return read_snapshots(spark, f"{base}/live").drop("batch_id")
+    def refuse(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{base}/refused/batch_id={batch_id}")
+
+    def start(rows: DataFrame):
+        live = _iso_obs(rows)
+        return start_rolling_snapshots(live, sink, f"{base}/checkpoint", delay=STAGED_DELAY, rejects=refuse, availableNow=True)
+
+    _replay(spark, sf_dir, base, start)
+    return base
+
+
+def rolling_stream(spark, sf_dir):
+    return read_snapshots(spark, f"{_rolling_stream(spark, sf_dir)}/live")
+
+
+def rolling_stream_rejects(spark, sf_dir):
+    base = _rolling_stream(spark, sf_dir)
+    schema = "time_tag string, speed double, density double, bt double, reason string, batch_id long"
+    return spark.read.schema(schema).parquet(f"{base}/refused")
 
 
 # --- record normalisation ------------------------------------------------------------
@@ -485,17 +521,20 @@ def documents_roundtrip(spark, sf_dir):
 
 
 def replayed(spark, sf_dir):
-    base = shared_path(configure(spark), "replay")
-    stream = as_observations(_event_stream(spark, sf_dir)).select("event_id", *REQUIRED_COLUMNS)
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", f"{base}/out")
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return _plain_time(spark.read.parquet(f"{base}/out"), "time_tag")
+    """All events through a stream of one file at a time, marked with whether there were several micro-batches."""
+    base = shared_path(spark, "replay")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+
+    def start(rows: DataFrame):
+        stream = rows.select("event_id", *REQUIRED_COLUMNS).writeStream.foreachBatch(keep)
+        return stream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+
+    _replay(spark, sf_dir, base, start, max_files_per_trigger=1)
+    found = spark.read.parquet(f"{base}/out")
+    batches = found.agg(F.count_distinct("batch_id")).scalar()
+    return _plain_time(found.withColumn("in_batches", batches >= PARTS).drop("batch_id"), "time_tag")
 
 
 QUERIES = {
@@ -521,6 +560,7 @@ QUERIES = {
     "rolling_snapshot": rolling,
     "rolling_snapshot_3h": rolling_wide,
     "rolling_snapshot_stream": rolling_stream,
+    "rolling_rejects_stream": rolling_stream_rejects,
     "normalize_rows": normalize_rows,
     "coerce_float": coerce,
     "parse_event_time": event_time,

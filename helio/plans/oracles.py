@@ -88,26 +88,60 @@ BREAKDOWN = f"""SELECT risk_band, count(*) AS event_count, {six("avg(speed)")} A
 SIZES = (("1 minute", 1, 1, 1), ("5 minutes", 5, 1, 5), ("15 minutes", 15, 5, 3))
 
 
-def _windows(*sizes: tuple, closed: bool = False) -> str:
+# parts of six days that are brought one after the other, every seventh record a part late
+STAGED = """staged AS (
+  SELECT *, own + CAST(event_id % 7 = 0 AND own < 4 AS INTEGER) AS part
+  FROM (SELECT *, CAST(least(4, (day(ts) - 1) // 6) AS INTEGER) AS own FROM obs))"""
+
+
+def _placed(*sizes: tuple, source: str) -> str:
     parts = [
-        f"""SELECT '{label}' AS window_label, speed, density, disturbance_score,
+        f"""SELECT '{label}' AS window_label, {source}.*,
   time_bucket(INTERVAL '{slide} minutes', ts) - i * INTERVAL '{slide} minutes' AS window_start,
   time_bucket(INTERVAL '{slide} minutes', ts) - i * INTERVAL '{slide} minutes'
     + INTERVAL '{length} minutes' AS window_end
-FROM scored, range(0, {copies}) AS r(i)"""
+FROM {source}, range(0, {copies}) AS r(i)"""
         for label, length, slide, copies in sizes
     ]
-    # the latest window end less the longest window and the delay of ten minutes
-    having = """HAVING window_end <=
-  (SELECT time_bucket(INTERVAL '5 minutes', max(ts)) - INTERVAL '10 minutes' FROM scored)"""
-    return f"""WITH {OBS}, scored AS (SELECT *, {STREAM_SCORE} AS disturbance_score FROM obs),
-placed AS ({" UNION ALL ".join(parts)})
-SELECT window_start, window_end, window_label, {six("avg(speed)")} AS rolling_avg_speed,
+    return f"placed AS ({' UNION ALL '.join(parts)})"
+
+
+WINDOW_FIGURES = f"""SELECT window_start, window_end, window_label, {six("avg(speed)")} AS rolling_avg_speed,
   {six("min(speed)")} AS rolling_min_speed, {six("max(speed)")} AS rolling_max_speed,
   {six("avg(density)")} AS rolling_avg_density,
   {six("avg(disturbance_score)")} AS rolling_avg_disturbance,
-  {six("stddev_pop(speed)")} AS speed_volatility
-FROM placed GROUP BY window_start, window_end, window_label {having if closed else ""}"""
+  {six("stddev_pop(speed)")} AS speed_volatility"""
+
+
+def _windows(*sizes: tuple) -> str:
+    return f"""WITH {OBS}, scored AS (SELECT *, {STREAM_SCORE} AS disturbance_score FROM obs),
+{_placed(*sizes, source="scored")}
+{WINDOW_FIGURES} FROM placed GROUP BY window_start, window_end, window_label"""
+
+
+def _closed_windows(*sizes: tuple) -> str:
+    """Windows closed by the end; a record is left out of those that were closed before its part came.
+
+    A window closes when the latest end is six hours and the longest window ahead of its own.
+    """
+    behind = "INTERVAL '6 hours' - INTERVAL '15 minutes'"
+    return f"""WITH {OBS}, {STAGED}, scored AS (SELECT *, {STREAM_SCORE} AS disturbance_score FROM staged),
+{_placed(*sizes, source="scored")},
+closings AS (SELECT p.part, max(window_end) - {behind} AS closed
+  FROM range(1, 6) AS p(part) JOIN placed ON placed.part < p.part GROUP BY p.part)
+{WINDOW_FIGURES}
+FROM placed LEFT JOIN closings USING (part)
+WHERE (closed IS NULL OR window_end > closed) AND window_end <= (SELECT closed FROM closings WHERE part = 5)
+GROUP BY window_start, window_end, window_label"""
+
+
+# records that are more than six hours older than the newest of earlier parts are refused
+ARRIVED = f"""{STAGED}, measured AS (
+  SELECT * FROM staged WHERE speed IS NOT NULL AND density IS NOT NULL AND bt IS NOT NULL),
+floors AS (SELECT p.part, date_trunc('millisecond', max(ts)) - INTERVAL '6 hours' AS oldest
+  FROM range(1, 5) AS p(part) JOIN measured ON measured.part < p.part GROUP BY p.part),
+arrived AS (SELECT measured.*, oldest IS NOT NULL AND ts < oldest AS late
+  FROM measured LEFT JOIN floors USING (part))"""
 
 
 def _snapshots(minutes: int = 5) -> str:
@@ -130,6 +164,24 @@ snaps AS (
   SELECT *, {BAND} AS risk_band FROM (SELECT *, {score} AS disturbance_score FROM framed))"""
 
 
+def _snapshots_as_they_came() -> str:
+    """A record's window holds what its part or an earlier one brought."""
+    score = BATCH_SCORE.format(
+        speed="window_avg_speed", density="window_avg_density", bt="window_avg_bt"
+    )
+    return f"""WITH {OBS}, {ARRIVED}, usable AS (SELECT * FROM arrived WHERE NOT late),
+framed AS (
+  SELECT r.iso AS time_tag, r.speed AS current_speed, CAST(r.part AS BIGINT) AS batch_id,
+    {three("avg(w.speed)")} AS rolling_avg_speed, min(w.speed) AS rolling_min_speed,
+    max(w.speed) AS rolling_max_speed, {three("avg(w.speed)")} AS window_avg_speed,
+    {three("avg(w.density)")} AS window_avg_density, {three("avg(w.bt)")} AS window_avg_bt,
+    count(*) AS window_size
+  FROM usable r JOIN usable w
+    ON w.ts BETWEEN r.ts - INTERVAL '5 minutes' AND r.ts AND w.part <= r.part
+  GROUP BY r.event_id, r.iso, r.speed, r.part)
+SELECT *, {BAND} AS risk_band FROM (SELECT *, {score} AS disturbance_score FROM framed)"""
+
+
 REVISED = """revised AS (
   SELECT * REPLACE (CASE WHEN current_speed < 350 THEN 'revised' ELSE risk_band END AS risk_band),
     translate(time_tag, ':/', '--') AS "key" FROM snaps)"""
@@ -204,10 +256,14 @@ SELECT event_id, disturbance_score, {BAND} AS risk_band FROM scored""",
     "speed_windows_5m": _windows(SIZES[1]),
     "speed_windows_15m": _windows(SIZES[2]),
     "speed_windows": _windows(*SIZES),
-    "speed_windows_stream": _windows(*SIZES, closed=True),
+    "speed_windows_stream": _closed_windows(*SIZES),
     "rolling_snapshot": f"WITH {_snapshots()} SELECT * FROM snaps",
     "rolling_snapshot_3h": f"WITH {_snapshots(180)} SELECT * FROM snaps",
-    "rolling_snapshot_stream": f"WITH {_snapshots()} SELECT * FROM snaps",
+    "rolling_snapshot_stream": _snapshots_as_they_came(),
+    "rolling_rejects_stream": f"""WITH {OBS}, {ARRIVED}
+SELECT iso AS time_tag, speed, density, bt, 'late' AS reason, CAST(part AS BIGINT) AS batch_id FROM arrived WHERE late
+UNION ALL SELECT iso, speed, density, bt, 'measure', CAST(part AS BIGINT) FROM staged
+  WHERE speed IS NULL OR density IS NULL OR bt IS NULL""",
     "normalize_rows": f"""WITH {RAW} SELECT
   coalesce(CASE WHEN event_id % 5 > 1 THEN iso END,
     CASE WHEN event_id % 3 <> 0 THEN 'ts-' || event_id END,
@@ -273,5 +329,5 @@ UNION ALL SELECT 'disturbance_breakdown', risk_band, {six("avg(density)")}
   FROM prepared GROUP BY risk_band""",
     "roundtrip_documents": f"""{BATCH}, summary AS ({SUMMARY}), pairs AS ({CORRELATIONS})
 SELECT summary.*, pairs.* FROM summary, pairs""",
-    "replay_stream": f"WITH {OBS} SELECT event_id, time_tag, {RECORD} FROM obs",
+    "replay_stream": f"WITH {OBS} SELECT event_id, time_tag, {RECORD}, true AS in_batches FROM obs",
 }

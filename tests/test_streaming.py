@@ -231,3 +231,57 @@ def test_stream_source_options(spark):
     # the connector is not on the class path here; the request gets as far as looking for it
     with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND"):
         stream_observations(spark, "kinesis", "solar", "TRIM_HORIZON", region="eu-west-1")
+
+
+def test_stream_state_holds_panes_and_visits_only_those_of_new_records(feed, tmp_path):
+    feed.add(*[minute(i) for i in range(0, 600, 2)])
+    run_rolling(feed, tmp_path)
+    feed.add(minute(601))
+    query = start_rolling_snapshots(
+        parse_events(feed.stream()), lambda rows, batch_id: rows.count(), str(tmp_path / "checkpoint"), availableNow=True
+    )
+    query.awaitTermination()
+    (state,) = query.recentProgress[-1]["stateOperators"]
+    # ten hours are ten panes of an hour; the new record is seen from one, and old ones are dropped by their timers
+    assert state["numRowsUpdated"] == 1 and state["numRowsRemoved"] == 9
+
+
+def test_rejects_are_told_apart(feed, tmp_path):
+    feed.add(minute(100), minute(20), record("garbage"), record("2026-01-01T01:00:00Z", bt=None), record("2999-01-01T00:00:00Z"))
+    told = []
+
+    def run():
+        query = start_rolling_snapshots(
+            parse_events(feed.stream()),
+            lambda rows, batch_id: told.extend((r["time_tag"], "snapshot", batch_id) for r in rows.collect()),
+            str(tmp_path / "checkpoint"),
+            rejects=lambda rows, batch_id: told.extend((r["time_tag"], r["reason"], batch_id) for r in rows.collect()),
+            availableNow=True,
+        )
+        query.awaitTermination()
+
+    run()
+    feed.add(minute(95), minute(80))
+    run()
+    assert sorted((t[11:16] if t != "garbage" else t, reason, b) for t, reason, b in told) == sorted([
+        ("01:40", "snapshot", 0), ("00:20", "snapshot", 0), ("garbage", "time", 0), ("01:00", "measure", 0),
+        ("00:00", "ahead", 0), ("01:35", "snapshot", 1), ("01:20", "late", 1),
+    ])
+
+
+def test_window_totals_equal_a_loop():
+    import random
+
+    import numpy as np
+
+    from helio.streaming.trailing import TICK, merged_ticks, window_stats
+
+    pick = random.Random(2)
+    rows = [(pick.randrange(200), 1, *(v := [pick.uniform(1, 9) for _ in range(3)]), v[0], v[0]) for _ in range(300)]
+    ticks = merged_ticks(np.array(rows, dtype=TICK))
+    us = np.array(sorted({r[0] for r in rows}))
+    got = window_stats(ticks, us, 17)
+    for k, t in enumerate(us.tolist()):
+        own = [r for r in rows if t - 17 <= r[0] <= t]
+        want = (len(own), *[sum(r[i] for r in own) for i in (2, 3, 4)], min(r[2] for r in own), max(r[2] for r in own))
+        assert tuple(got[f"w_{c}"][k] for c in ("n", "speed", "density", "bt", "lo", "hi")) == pytest.approx(want)
