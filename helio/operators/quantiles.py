@@ -1,116 +1,99 @@
-"""Exact percentiles without sorting the table or gathering it anywhere."""
+"""Exact percentiles by selection on digits, without a sort and without gathering values anywhere."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
-from functools import reduce
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .aggregates import PERCENTILES
 
-CUTS = 64
-CUT_ERROR = 1 / 1000
-
-
-@dataclass(frozen=True)
-class Bracket:
-    """An open interval known to hold the value of ``rank``; ``below`` rows lie under it."""
-
-    rank: int
-    lo: float | None = None
-    hi: float | None = None
-    below: int = 0
-    narrow: bool = False
-    answer: float | None = None
-
-    def holds(self) -> Column:
-        inside = F.lit(True)
-        if self.lo is not None:
-            inside = (F.col("v") > self.lo) & (F.col("v") < self.hi)
-        return inside
-
-
-def _profile(inside: Column, lo: float | None, hi: float | None) -> Column:
-    probabilities = F.array(*[F.lit(i / CUTS) for i in range(CUTS + 1)])
-    kept = F.when(inside, F.col("v"))
-    none = F.lit(0).cast("bigint")
-    return F.struct(
-        (none if lo is None else F.count_if(F.col("v") < lo)).alias("below"),
-        (none if lo is None else F.count_if(F.col("v") == lo)).alias("at_lo"),
-        F.count(kept).alias("inside"),
-        F.approx_count_distinct(kept).alias("distinct"),
-        F.approx_percentile(kept, probabilities, round(1 / CUT_ERROR)).alias("cuts"),
-    )
-
+#: Bits of a double's image, and of a digit of it. A task holds the counts of one digit, so 2**16 at most.
+IMAGE_BITS, DIGIT_BITS = 64, 16
+FRACTION = 1 << 52
+#: Fixed values of the double format: bias of exponents, smallest normal and smallest positive number.
+BIAS, NORMAL, TINY = 1023, 2.0**-1022, 2.0**-1074
+INFINITE, NOT_A_NUMBER = 0x7FF << 52, (0x7FF << 52) + 1
 
-def _narrow(bracket: Bracket, inside: int, cuts: list[float]) -> Bracket:
-    """Step to the pair of cuts around the rank, allowing for the error of the cuts."""
-    share = (bracket.rank - bracket.below) / inside
-    low = max(0, int((share - 2 * CUT_ERROR) * CUTS))
-    high = min(CUTS, int((share + 2 * CUT_ERROR) * CUTS) + 1)
-    return replace(bracket, lo=cuts[low], hi=cuts[high])
 
+def ordered_image(value: Column) -> Column:
+    """A double as a signed 64-bit integer with the same order: its bit pattern, negated below zero.
 
-def _settle(bracket: Bracket, seen, max_values: int) -> Bracket:
-    """Use the exact counts at the ends: the rank is at an end, or strictly between them."""
-    up_to_lo = seen["below"] + seen["at_lo"]
-    if bracket.rank <= up_to_lo:
-        return replace(bracket, answer=bracket.lo)
-    if bracket.rank > up_to_lo + seen["inside"]:
-        return replace(bracket, answer=bracket.hi)
-    return replace(bracket, below=up_to_lo, narrow=seen["distinct"] <= max_values)
+    Both zeros are 0. NaN comes last, as in Spark's own order. Scaling by powers of two is exact, so nothing is lost.
+    """
+    size = F.abs(value)
+    near = F.floor(F.log2(size))
+    # the logarithm may be off by one next to a power of two
+    exponent = near + F.when(size >= F.pow(F.lit(2.0), near + 1), 1).when(size < F.pow(F.lit(2.0), near), -1).otherwise(0)
+    fraction = ((size / F.pow(F.lit(2.0), exponent) - 1) * FRACTION).cast("bigint")
+    bits = (
+        F.when(F.isnan(value), F.lit(NOT_A_NUMBER))
+        .when(size == float("inf"), F.lit(INFINITE))
+        .when(size >= NORMAL, F.shiftleft((exponent + BIAS).cast("bigint"), 52) + fraction)
+        .otherwise((size / TINY).cast("bigint"))
+    )
+    return F.when((value < 0) & ~F.isnan(value), -bits).otherwise(bits)
+
+
+def from_image(image: int) -> float:
+    """The double with this image."""
+    size = abs(image)
+    if size > INFINITE:
+        return float("nan")
+    if size == INFINITE:
+        out = float("inf")
+    elif size >= FRACTION:
+        out = (1 + size % FRACTION / FRACTION) * 2.0 ** ((size >> 52) - BIAS)
+    else:
+        out = size * TINY
+    return -out if image < 0 else out
+
+
+def _digit_counts(images: DataFrame, prefixes: Iterable[int] | None, low: int, bits: int) -> DataFrame:
+    """For each wanted prefix the counts of the next digit, in order: a row and a task of 2**bits entries at most."""
+    prefix = F.lit(0).cast("bigint") if prefixes is None else F.shiftright("image", low + bits)
+    # the first digit has the sign
+    digit = F.shiftright("image", low) if prefixes is None else F.shiftright("image", low).bitwiseAND((1 << bits) - 1)
+    kept = images if prefixes is None else images.where(prefix.isin([*prefixes]))
+    counts = kept.groupBy(prefix.alias("prefix"), digit.alias("digit")).agg(F.count("*").alias("n"))
+    return counts.groupBy("prefix").agg(F.sort_array(F.collect_list(F.struct("digit", "n"))).alias("digits"), F.sum("n").alias("n"))
+
+
+def _crossing(rank: Column) -> Column:
+    """The digit that the rank falls on, and how many values lie below it."""
+    none = F.struct(F.lit(0).cast("bigint").alias("below"), F.lit(None).cast("bigint").alias("digit"))
+    return F.reduce(
+        "digits",
+        none,
+        lambda seen, d: F.when(seen["digit"].isNotNull(), seen)
+        .when(seen["below"] + d["n"] >= rank, F.struct(seen["below"].alias("below"), d["digit"].alias("digit")))
+        .otherwise(F.struct((seen["below"] + d["n"]).alias("below"), F.lit(None).cast("bigint").alias("digit"))),
+    )
 
 
-def exact_percentiles(df: DataFrame, max_values: int = 1_000_000) -> DataFrame:
+def exact_percentiles(df: DataFrame, digit_bits: int = DIGIT_BITS) -> DataFrame:
     """Percentiles of speed as order statistics: the ``ceil(p * n)``-th smallest speed.
 
-    Every round brackets each wanted rank between two approximate quantiles and counts
-    exactly what lies below and between, so a round shrinks a bracket about twentyfold
-    at the price of one scan that returns one row. Once a bracket holds no more than
-    ``max_values`` distinct speeds, their counts are sorted. A speed shared by many
-    rows ends up as the end of a bracket or as one count.
+    A speed is read as a number of 64 / ``digit_bits`` digits. Each pass counts the digits that follow the
+    ones already known of a wanted rank, combining before it shuffles, and learns one more from the counts.
+    A pass brings a row for each percentile to the driver; how often a speed is repeated does not matter.
     """
-    values = df.select(F.col("speed").alias("v")).where(F.col("v").isNotNull())
-    whole = values.agg(_profile(F.lit(True), None, None).alias("s")).first()["s"]
-    n = whole["inside"]
-    few = whole["distinct"] <= max_values
-    # ceil(p * n), with p as a whole number of hundredths
-    found = {
-        name: Bracket(rank=-(-round(p * 100) * n // 100), narrow=few)
-        for name, p in PERCENTILES.items()
-    }
-    profiles = {name: whole for name in found}
-    while pending := [name for name, b in found.items() if b.answer is None and not b.narrow]:
-        for name in pending:
-            found[name] = _narrow(found[name], profiles[name]["inside"], profiles[name]["cuts"])
-        row = values.agg(
-            *[
-                _profile(found[name].holds(), found[name].lo, found[name].hi).alias(name)
-                for name in pending
-            ]
-        ).first()
-        for name in pending:
-            profiles[name] = row[name]
-            found[name] = _settle(found[name], row[name], max_values)
-
-    open_ = {name: b for name, b in found.items() if b.answer is None}
-    in_any = reduce(lambda a, b: a | b, [b.holds() for b in open_.values()], F.lit(False))
-    # at most max_values distinct speeds for each percentile reach this single sort
-    counts = values.where(in_any).groupBy("v").agg(F.count("*").alias("n"))
-    reached = counts.withColumns(
-        {
-            name: F.sum(F.when(b.holds(), F.col("n"))).over(W.orderBy("v"))
-            for name, b in open_.items()
-        }
-    )
-    return reached.agg(
-        *[
-            F.min(F.when(b.holds() & (F.col(name) >= b.rank - b.below), F.col("v"))).alias(name)
-            if name in open_
-            else F.lit(b.answer).alias(name)
-            for name, b in found.items()
+    spark = df.sparkSession
+    images = df.where(F.col("speed").isNotNull()).select(ordered_image(F.col("speed")).alias("image"))
+    # name, image known so far, rank among the values that begin with it
+    wanted: list[tuple[str, int, int | None]] = [(name, 0, None) for name in PERCENTILES]
+    for low in range(IMAGE_BITS - digit_bits, -1, -digit_bits):
+        first = low == IMAGE_BITS - digit_bits
+        counts = _digit_counts(images, None if first else sorted({prefix for _, prefix, _ in wanted}), low, digit_bits)
+        # ceil(p * n), with p as a whole number of hundredths
+        hundredths = [(name, prefix, rank, round(PERCENTILES[name] * 100)) for name, prefix, rank in wanted]
+        asked = spark.createDataFrame(hundredths, "name string, prefix bigint, rank bigint, p bigint")
+        rank = F.coalesce(F.col("rank"), F.expr("(p * n + 99) div 100"))
+        found = counts.join(F.broadcast(asked), "prefix").select("name", "prefix", rank.alias("rank"), _crossing(rank).alias("at"))
+        wanted = [
+            (r["name"], r["at"]["digit"] if first else r["prefix"] << digit_bits | r["at"]["digit"], r["rank"] - r["at"]["below"])
+            for r in found.collect()
         ]
-    )
+    answers = {name: from_image(image) for name, image, _ in wanted}
+    return spark.range(1).select(*[F.lit(answers.get(name)).cast("double").alias(name) for name in PERCENTILES])

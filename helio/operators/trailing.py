@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import WindowSpec
 
 from ..functions import disturbance_score, parse_event_time, risk_band, rounded
 from ..schema import SNAPSHOT
@@ -28,6 +29,10 @@ MICROS = 1_000_000
 MIN_SECONDS = 60
 PANES_PER_WINDOW = 60
 PANES_PER_BLOCK = 1024
+# a running window's blocks of time, and how many of them make a group: all years that times can have
+# make a million groups
+RUN_BLOCK = 60 * MICROS
+BLOCKS_PER_GROUP = 4096
 # a time is hot from this many records on, and from this share of all records on;
 # the second bound keeps the broadcast list of hot times below HOT_SHARE entries
 HOT_ROWS = 1_000_000
@@ -61,16 +66,6 @@ def live_rows(df: DataFrame) -> DataFrame:
     return rows.where(F.col("us").isNotNull())
 
 
-def rejected_rows(df: DataFrame) -> DataFrame:
-    """What ``live_rows`` leaves out, with the reason."""
-    measures = F.col("speed").isNull() | F.col("density").isNull() | F.col("bt").isNull()
-    unread = parse_event_time(F.col("time_tag"), df.schema["time_tag"].dataType).isNull()
-    reason = F.when(measures, "measure").when(unread, "time")
-    return df.select(
-        F.col("time_tag").cast("string"), "speed", "density", "bt", reason.alias("reason")
-    ).where(F.col("reason").isNotNull())
-
-
 def ticks_of(rows: DataFrame) -> DataFrame:
     """One row per distinct time; many records of one time are combined before the shuffle."""
     return rows.groupBy("us").agg(
@@ -83,10 +78,6 @@ def ticks_of(rows: DataFrame) -> DataFrame:
     )
 
 
-def merge_ticks(ticks: DataFrame) -> DataFrame:
-    return ticks.groupBy("us").agg(*[merge(name).alias(name) for name, merge in MERGE.items()])
-
-
 def _pane(us: Column, width: int) -> Column:
     return us - F.pmod(us, F.lit(width))
 
@@ -208,3 +199,42 @@ def rolling_snapshot(df: DataFrame, minutes: int = 5) -> DataFrame:
     ticks = ticks_of(rows)
     stats = trailing_stats(ticks, window_seconds(minutes) * MICROS)
     return as_snapshots(attach_stats(rows, ticks, stats))
+
+
+def running_stats(ticks: DataFrame) -> DataFrame:
+    """Per tick ``us``: the aggregates of all ticks up to it, by a scan in three levels.
+
+    Ticks run within their block of time, blocks within their group of blocks, and groups, a row
+    each, over all: no task holds more than a block's ticks, a group's blocks, or the groups.
+    """
+    block = _pane(F.col("us"), RUN_BLOCK)
+    group = F.floor(F.col("block") / (RUN_BLOCK * BLOCKS_PER_GROUP))
+    totals = [merge(name).alias(name) for name, merge in MERGE.items()]
+    blocks = ticks.groupBy(block.alias("block")).agg(*totals).withColumn("group", group)
+    # a group is some days, so all groups are fewer rows than a block has ticks
+    groups = blocks.groupBy("group").agg(*totals)
+
+    def before(level: str, window: WindowSpec) -> list[Column]:
+        frame = window.rowsBetween(W.unboundedPreceding, -1)
+        return [merge(name).over(frame).alias(f"{level}_{name}") for name, merge in MERGE.items()]
+
+    earlier_groups = groups.select("group", *before("g", W.orderBy("group")))
+    earlier_blocks = blocks.select("block", "group", *before("b", W.partitionBy("group").orderBy("block")))
+    starts = earlier_blocks.join(F.broadcast(earlier_groups), "group").drop("group")
+    up_to = W.partitionBy("block").orderBy("us").rowsBetween(W.unboundedPreceding, 0)
+    inside = ticks.withColumn("block", block).select("us", "block", *[merge(name).over(up_to).alias(f"t_{name}") for name, merge in MERGE.items()])
+
+    def combined(name: str) -> Column:
+        parts = [F.col(f"{level}_{name}") for level in "tbg"]
+        if MERGE[name] is F.sum:
+            return parts[0] + F.coalesce(parts[1], F.lit(0)) + F.coalesce(parts[2], F.lit(0))
+        return (F.least if MERGE[name] is F.min else F.greatest)(*parts)
+
+    return inside.join(starts, "block").select("us", *[combined(name).alias(f"w_{name}") for name in MERGE])
+
+
+def running_snapshot(df: DataFrame) -> DataFrame:
+    """One snapshot per record over all records up to its time: a window that never evicts."""
+    rows = live_rows(df)
+    ticks = ticks_of(rows)
+    return as_snapshots(attach_stats(rows, ticks, running_stats(ticks)))

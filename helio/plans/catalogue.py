@@ -25,7 +25,7 @@ from ..operators.clean import (
     with_score,
 )
 from ..operators.quantiles import exact_percentiles
-from ..operators.trailing import rolling_snapshot
+from ..operators.trailing import rolling_snapshot, running_snapshot
 from ..operators.windows import (
     FIFTEEN_MINUTES,
     FIVE_MINUTES,
@@ -225,6 +225,10 @@ def rolling_wide(spark, sf_dir):
     return rolling_snapshot(_iso_obs(_obs(spark, sf_dir)), minutes=180)
 
 
+def running(spark, sf_dir):
+    return running_snapshot(_iso_obs(_obs(spark, sf_dir)))
+
+
 def _rolling_stream(spark: SparkSession, sf_dir: str) -> str:
     """Snapshots and refused records of the staged stream, by micro-batch."""
     base = shared_path(spark, "rolling")
@@ -559,6 +563,7 @@ QUERIES = {
     "speed_windows_stream": windows_stream,
     "rolling_snapshot": rolling,
     "rolling_snapshot_3h": rolling_wide,
+    "running_snapshot": running,
     "rolling_snapshot_stream": rolling_stream,
     "rolling_rejects_stream": rolling_stream_rejects,
     "normalize_rows": normalize_rows,

@@ -144,8 +144,9 @@ arrived AS (SELECT measured.*, oldest IS NOT NULL AND ts < oldest AS late
   FROM measured LEFT JOIN floors USING (part))"""
 
 
-def _snapshots(minutes: int = 5) -> str:
-    """CTEs down to ``snaps``, one row per record with a full set of measures."""
+def _snapshots(minutes: int | None = 5) -> str:
+    """CTEs down to ``snaps``, one row per record with a full set of measures; over all time without ``minutes``."""
+    reach = f"INTERVAL '{minutes} minutes'" if minutes else "UNBOUNDED"
     score = BATCH_SCORE.format(
         speed="window_avg_speed", density="window_avg_density", bt="window_avg_bt"
     )
@@ -159,7 +160,7 @@ framed AS (
     {three("avg(density) OVER w")} AS window_avg_density,
     {three("avg(bt) OVER w")} AS window_avg_bt, count(*) OVER w AS window_size
   FROM usable
-  WINDOW w AS (ORDER BY ts RANGE BETWEEN INTERVAL '{minutes} minutes' PRECEDING AND CURRENT ROW)),
+  WINDOW w AS (ORDER BY ts RANGE BETWEEN {reach} PRECEDING AND CURRENT ROW)),
 snaps AS (
   SELECT *, {BAND} AS risk_band FROM (SELECT *, {score} AS disturbance_score FROM framed))"""
 
@@ -259,6 +260,7 @@ SELECT event_id, disturbance_score, {BAND} AS risk_band FROM scored""",
     "speed_windows_stream": _closed_windows(*SIZES),
     "rolling_snapshot": f"WITH {_snapshots()} SELECT * FROM snaps",
     "rolling_snapshot_3h": f"WITH {_snapshots(180)} SELECT * FROM snaps",
+    "running_snapshot": f"WITH {_snapshots(None)} SELECT * FROM snaps",
     "rolling_snapshot_stream": _snapshots_as_they_came(),
     "rolling_rejects_stream": f"""WITH {OBS}, {ARRIVED}
 SELECT iso AS time_tag, speed, density, bt, 'late' AS reason, CAST(part AS BIGINT) AS batch_id FROM arrived WHERE late

@@ -14,7 +14,7 @@ from helio.operators.clean import (
 )
 from helio.operators.normalize import normalize_rows
 from helio.operators.ordering import globally_sorted
-from helio.operators.quantiles import exact_percentiles
+from helio.operators.quantiles import _digit_counts, exact_percentiles, from_image, ordered_image
 from helio.plans.batch import write_batch_outputs
 from helio.sources import OutputLayout, read_document, read_observations, read_output, write_json_lines
 from tests.samples import records, sample
@@ -126,16 +126,34 @@ def test_empty_and_constant_input(spark):
     assert set(agg.correlations(same).first()) == {None}
 
 
-@pytest.mark.parametrize("max_values", [1, 7, 10_000])
-def test_exact_percentiles_with_a_dominant_value(spark, max_values):
-    speeds = np.concatenate([np.full(3000, 400.5), np.arange(2000) / 4, 600 + np.arange(900) / 8])
+@pytest.mark.parametrize(("digit_bits", "repeats"), [(4, 3000), (8, 30_000), (16, 3000), (16, 30_000)])
+def test_exact_percentiles_with_a_dominant_value(spark, digit_bits, repeats):
+    speeds = np.concatenate([np.full(repeats, 400.5), np.arange(2000) / 4, 600 + np.arange(900) / 8])
     df = spark.createDataFrame([(float(s),) for s in speeds], "speed double").repartition(4)
     ordered = np.sort(speeds)
     expected = {
         name: ordered[-(-round(p * 100) * len(ordered) // 100) - 1]
         for name, p in agg.PERCENTILES.items()
     }
-    assert exact_percentiles(df, max_values).first().asDict() == expected
+    assert exact_percentiles(df, digit_bits).first().asDict() == expected
+
+
+def test_exact_percentiles_of_odd_numbers(spark):
+    odd = [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, np.nextafter(2.0**-1022, 0), 1.0, np.nextafter(1.0, 0), np.nextafter(2.0, 0), 2.0]
+    odd += [1.7976931348623157e308, float("inf"), float("-inf"), -3.75, 1e-300, 2.0**52 + 1, -(2.0**1023), 0.1, 3.0, 1e22]
+    df = spark.createDataFrame([(float(s),) for s in odd], "speed double")
+    images = [r[0] for r in df.select(ordered_image(F.col("speed"))).collect()]
+    assert [from_image(i) for i in images] == odd
+    assert [odd[i] for i in np.argsort(images, kind="stable")] == sorted(odd)
+    packed = np.array(odd).view(np.int64)
+    assert images == [int(b) if b >= 0 else -int(b & 0x7FFFFFFFFFFFFFFF) for b in packed.tolist()]
+
+
+def test_exact_percentiles_need_no_window_and_no_sort(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),)], "speed double")
+    plan = _digit_counts(df.select(ordered_image(F.col("speed")).alias("image")), [0], 32, 16)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange SinglePartition" not in plan
+    assert exact_percentiles(df).first()["p50"] == 2.0
 
 
 def test_cleaning(spark):

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helio.operators import trailing
-from helio.operators.trailing import rolling_snapshot, window_seconds
+from helio.operators.trailing import rolling_snapshot, running_snapshot, window_seconds
 from tests.samples import records, sample
 
 START = datetime(2026, 1, 1, tzinfo=UTC)
@@ -97,3 +97,18 @@ def test_numeric_times(spark):
 
 def test_window_has_a_minimum():
     assert [window_seconds(m) for m in (-3, 0, 1, 5)] == [60, 60, 60, 300]
+
+
+def test_running_windows_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(trailing, "BLOCKS_PER_GROUP", 3)
+    rows = [(t, float(s), d, b) for t, s, d, b in random_rows(4, 200, 2 * 10**9)]
+    df = records(spark, *[(stamp(t), s, d, b) for t, s, d, b in rows]).repartition(5)
+    found = [
+        (r["time_tag"], r["current_speed"], r["window_size"], r["rolling_min_speed"], r["rolling_max_speed"], r["rolling_avg_speed"])
+        for r in running_snapshot(df).collect()
+    ]
+    assert_matches(found, brute_force(rows, 10**18))
+
+
+def test_running_windows_of_nothing(spark):
+    assert running_snapshot(sample(spark).limit(0)).count() == 0
