@@ -27,6 +27,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ LONG_RUN = re.compile(r"\S{2000}|\s{2000}")
 #: Characters of the texts of a block, about, and of the new parts that are coalesced in one step.
 BLOCK_CHARS, STEP_CHARS = 1 << 23, 1 << 16
 #: Distinct parts that a worker keeps from block to block, about.
-KEPT_PARTS = 200_000
+KEPT_PARTS = 100_000
 #: Links that one step expands, about.
 STEP_LINKS = 1 << 20
 #: A pair of ids as one number.
@@ -284,6 +285,16 @@ def _holders(parts: list[np.ndarray], pair_at: np.ndarray, pair_starts: np.ndarr
     return held
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Compressed, as blocks are written and shuffled; low bytes first, then the next ones."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    return np.ascontiguousarray(flat.reshape(4, -1).T).view("<i4").ravel()
+
+
 @lru_cache(maxsize=1)
 def _aligner(first: str, second: str) -> Aligner:
     """Parts learnt by a worker, kept from block to block."""
@@ -321,10 +332,10 @@ def _block(ids: list[int | None], texts: list[str], first: str, second: str) ->
             "block": [uuid.uuid4().hex],
             "doc_id": [ids],
             **{name: [list(c)] for name, c in zip(("n_a", "n_b", "n_groups", "n_links", "groups_sha256"), columns, strict=True)},
-            "parts": [parts.astype("<i4").tobytes()],
+            "parts": [_packed(parts.astype("<i4"))],
             "starts": [starts.astype("<i8").tobytes()],
-            "pair_at": [pair_at.astype("<i4").tobytes()],
-            "times": [all_times[places].astype("<i4").tobytes()],
+            "pair_at": [_packed(pair_at.astype("<i4"))],
+            "times": [_packed(all_times[places].astype("<i4"))],
             "pair_starts": [pair_starts.astype("<i8").tobytes()],
             "pairs": [pairs],
             "holders": [held],
@@ -371,8 +382,8 @@ def _scored(block: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
     count, best = np.zeros(len(own["pairs"]), dtype=np.int64), np.zeros(len(own["pairs"]), dtype=np.int64)
     place = found["place"].to_numpy(dtype=np.int64)
     count[place], best[place] = found["count"], found["best"]
-    parts, starts = np.frombuffer(own["parts"], "<i4"), np.frombuffer(own["starts"], "<i8")
-    pair_at, times = np.frombuffer(own["pair_at"], "<i4"), np.frombuffer(own["times"], "<i4").astype(np.int64)
+    parts, starts = _unpacked(own["parts"]), np.frombuffer(own["starts"], "<i8")
+    pair_at, times = _unpacked(own["pair_at"]), _unpacked(own["times"]).astype(np.int64)
     bounds = np.frombuffer(own["pair_starts"], "<i8")
 
     def by_range(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
