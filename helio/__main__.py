@@ -17,16 +17,19 @@ from .sources import (
     publish,
     read_document,
     read_observations,
-    read_snapshots,
+    read_snapshot_log,
     spark_uri,
     stream_files,
     stream_observations,
     write_json_lines,
 )
 from .streaming import (
+    compact_snapshots,
+    once_per_batch,
     parse_events,
     score_events,
     start_archive,
+    start_produce,
     start_rolling_snapshots,
     start_speed_windows,
     stream_speed_windows,
@@ -87,7 +90,24 @@ def archive(spark: SparkSession, args: argparse.Namespace) -> None:
     start_archive(encoded, args.output, args.checkpoint, **_trigger(args)).awaitTermination()
 
 
+def _produce_stream(spark: SparkSession, args: argparse.Namespace) -> None:
+    raw = stream_files(spark, args.input, "text", "value string", wholetext="true")
+    keyed = once_per_batch(args.output) if args.output else None
+
+    def send(rows: DataFrame, batch_id: int) -> None:
+        if args.format == "text":
+            keyed(rows, batch_id)
+        else:
+            rows.write.format(args.format).options(**_options(args.option)).mode("append").save()
+
+    rejects = once_per_batch(f"{args.output.rstrip('/')}-rejects") if args.output else None
+    query = start_produce(raw, send, args.checkpoint, key=args.key, rejects=rejects, **_trigger(args))
+    query.awaitTermination()
+
+
 def produce(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.checkpoint:
+        return _produce_stream(spark, args)
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     if args.source == "csv":
         raw = read_observations(spark, args.input, typed=False)
@@ -104,6 +124,11 @@ def produce(spark: SparkSession, args: argparse.Namespace) -> None:
         publish(rows, args.format, args.key, **_options(args.option))
 
 
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    for day in compact_snapshots(spark, args.snapshots, args.before):
+        print(day)
+
+
 def _show(df: DataFrame) -> None:
     for row in df.toJSON().toLocalIterator():
         print(row)
@@ -111,7 +136,7 @@ def _show(df: DataFrame) -> None:
 
 def merge(spark: SparkSession, args: argparse.Namespace) -> None:
     layout = OutputLayout(args.output)
-    live = latest_snapshots(read_snapshots(spark, args.snapshots or layout.snapshots), 1)
+    live = latest_snapshots(read_snapshot_log(spark, args.snapshots or layout.snapshots), 1)
     documents = [read_document(spark, layout.document(d)) for d in ("summary", "percentiles")]
     _show((serving_view if args.view else serving_merge)(live, *documents))
 
@@ -164,6 +189,12 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--format", default="text")
     sub.add_argument("--key", default="time_tag")
     sub.add_argument("--option", action="append", default=[])
+    sub.add_argument("--checkpoint", help="go on reading payload files as they come")
+    sub.add_argument("--trigger-seconds", type=int, help="seconds between micro-batches")
+    sub.add_argument("--once", action="store_true", help="stop when all present files are done")
+
+    sub = command(compact, "snapshots")
+    sub.add_argument("--before", help="first day that is left as it is")
 
     sub = command(merge, "output")
     sub.add_argument("--snapshots", help="snapshot log; found from --output by default")

@@ -102,7 +102,7 @@ def _truthy(text: Column, value: Column) -> Column:
 # --- payload shapes ------------------------------------------------------------------
 
 
-def _units(df: DataFrame, payload: str, arrival: str | None) -> DataFrame:
+def _units(df: DataFrame, payload: str, arrival: str | None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Parsed payloads with the list of what they hold: one grid, or some events."""
     now = F.col(arrival).cast("string") if arrival else F.lit(None).cast("string")
     root = F.col("root")
@@ -112,7 +112,7 @@ def _units(df: DataFrame, payload: str, arrival: str | None) -> DataFrame:
         F.when(_is_object(root), F.array(root)),
         _items(root),
     )
-    texts = df.select(F.col(payload).alias("payload"), now.alias("now"))
+    texts = df.select(*keep, F.col(payload).alias("payload"), now.alias("now"))
     parsed = computed_once(texts, "root", F.try_parse_json("payload")).withColumn(
         "is_grid", _items(_at(root, "coordinates")).isNotNull()
     )
@@ -231,7 +231,7 @@ def normalize_payloads(
     return _read_units(_units(df, payload, arrival))
 
 
-def rejected_payloads(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """Payloads that are no JSON object or array, or that list something else than objects."""
+def rejected_payloads(df: DataFrame, payload: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Payloads that are no JSON object or array, or that list something else than objects, with the columns ``keep``."""
     unread = F.col("units").isNull() | F.exists("units", lambda unit: ~_is_object(unit))
-    return _units(df, payload, None).where(unread).select("payload")
+    return _units(df, payload, None, keep).where(unread).select(*keep, "payload")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rounded, snapshot_key
 from ..schema import SNAPSHOT
+from ..sources.readers import snapshot_days
 
 SNAPSHOT_LIMIT = 50
 DISPLAY_COLUMNS = (
@@ -23,24 +24,43 @@ def _document(df: DataFrame, *fields: str) -> Column:
     return df.select(F.struct(*fields)).scalar()
 
 
-def newest_per_key(snapshots: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """One snapshot per key, the newest by ``order``; combines before it shuffles.
+def newest_per_key(snapshots: DataFrame, order: tuple[str, ...], *more: str) -> DataFrame:
+    """One snapshot per key, the newest by ``order``, with the columns ``more``; combines before it shuffles.
 
     Rows that tie on ``order`` are told apart by their content.
     """
-    fields = SNAPSHOT.fieldNames()
+    fields = [*SNAPSHOT.fieldNames(), *more]
     newest = F.max_by(F.struct(*fields), F.struct(*order, *fields)).alias("s")
     keyed = snapshots.withColumn("key", snapshot_key(F.col("time_tag")))
     return keyed.groupBy("key").agg(newest).select("key", "s.*")
 
 
+def _newest_days(log: DataFrame, n: int) -> DataFrame:
+    """The part of a log by days that holds its ``n`` highest keys.
+
+    Days are opened from the newest on, twice as many each time, until they hold ``n`` keys. Which days there
+    are is known from the names of files; of a day that is not opened nothing is read.
+    """
+    days = sorted(snapshot_days(log), reverse=True)
+    taken = 1
+    while taken < len(days):
+        opened = log.where(F.col("day").isin(days[:taken]))
+        if opened.select(snapshot_key(F.col("time_tag")).alias("key")).distinct().limit(n).count() >= n:
+            return opened
+        taken *= 2
+    return log
+
+
 def latest_snapshots(
     log: DataFrame, n: int = SNAPSHOT_LIMIT, order: tuple[str, ...] = ("batch_id",)
 ) -> DataFrame:
     """The ``n`` snapshots with the highest keys, in ascending key order.
 
-    The keys are picked first, so only versions of those ``n`` keys are compared.
+    The keys are picked first, so only versions of those ``n`` keys are compared. A log that has
+    its days (``read_snapshot_log``) is read from the newest day on as far as needed.
     """
+    if "day" in log.columns:
+        log = _newest_days(log, n)
     keyed = log.withColumn("key", snapshot_key(F.col("time_tag")))
     top = keyed.select("key").distinct().orderBy(F.desc("key")).limit(n)
     # top holds n keys at most

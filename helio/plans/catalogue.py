@@ -42,15 +42,21 @@ from ..sources import (
     read_document,
     read_observations,
     read_output,
+    read_snapshot_log,
     read_snapshots,
     stream_files,
+    write_document,
 )
 from ..streaming import (
-    archive_batch,
+    compact_snapshots,
+    once_per_batch,
     parse_events,
     rejected_events,
     score_events,
+    start_archive,
+    start_produce,
     start_rolling_snapshots,
+    start_serving_merge,
     start_speed_windows,
     stream_speed_windows,
     upsert_snapshots,
@@ -376,8 +382,37 @@ def normalize(build):
 
 
 def rejected(spark, sf_dir):
-    bad = norm.rejected_payloads(_payloads(spark, sf_dir))
-    return bad.groupBy((F.col("payload") == "{broken").alias("broken")).agg(F.count("*").alias("n"))
+    return norm.rejected_payloads(_payloads(spark, sf_dir), keep=("event_id",))
+
+
+def _produced(spark: SparkSession, sf_dir: str) -> str:
+    """Payloads staged in two parts, each read as a stream that goes on from its checkpoint."""
+    base = shared_path(spark, "produce")
+    staged = _payloads(spark, sf_dir)
+    for part in range(2):
+        staged.where(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{base}/in")
+        query = start_produce(
+            stream_files(spark, f"{base}/in", "parquet", staged.schema),
+            once_per_batch(f"{base}/out"),
+            f"{base}/checkpoint",
+            payload="payload",
+            arrival="arrival",
+            rejects=once_per_batch(f"{base}/rejects"),
+            keep=("event_id",),
+            availableNow=True,
+        )
+        query.awaitTermination()
+    return base
+
+
+def produced(spark, sf_dir):
+    sent = spark.read.schema("key string, value string").json(f"{_produced(spark, sf_dir)}/out")
+    rows = sent.select("key", F.from_json("value", OBSERVATION).alias("r")).select("key", "r.*")
+    return _six_all(rows)
+
+
+def produce_rejects(spark, sf_dir):
+    return spark.read.schema("event_id bigint, payload string, batch_id bigint").json(f"{_produced(spark, sf_dir)}/rejects")
 
 
 # --- stream records ------------------------------------------------------------------
@@ -416,13 +451,18 @@ def emitted_events(spark, sf_dir):
 
 def archived(spark, sf_dir):
     base = shared_path(configure(spark), "archive")
-    records = _obs(spark, sf_dir).select(
-        F.base64(F.to_json(F.struct("event_id", "speed")).cast("binary")).alias("data"),
-        F.col("time_tag").alias("arrival_ts"),
-    )
-    archive_batch(records, base)
+
+    def start(rows: DataFrame):
+        records = rows.select(
+            F.base64(F.to_json(F.struct("event_id", "speed")).cast("binary")).alias("data"),
+            # what an hour brings arrives at its end
+            F.date_trunc("hour", "time_tag").alias("arrival_ts"),
+        )
+        return start_archive(records, f"{base}/out", f"{base}/checkpoint", availableNow=True)
+
+    _replay(spark, sf_dir, base, start)
     line = F.from_json("value", "event_id bigint, speed double")
-    return spark.read.text(base).select(
+    return spark.read.text(f"{base}/out").select(
         line["event_id"].alias("event_id"),
         line["speed"].alias("speed"),
         *[F.col(c).cast("int").alias(c) for c in ("year", "month", "day", "hour")],
@@ -432,20 +472,37 @@ def archived(spark, sf_dir):
 # --- serving -------------------------------------------------------------------------
 
 
-def _snapshot_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def write_snapshot_log(spark: SparkSession, sf_dir: str) -> str:
     """A log of two batches; the second replaces the snapshots of low speeds."""
     base = shared_path(configure(spark), "live")
     upsert_snapshots(rolling_snapshot(_iso_obs(_obs(spark, sf_dir))), base, 0)
     first = read_snapshots(spark, base).where(F.col("batch_id") == 0)
     second = first.where(F.col("current_speed") < 350).withColumn("risk_band", F.lit("revised"))
     upsert_snapshots(second, base, 1)
-    return read_snapshots(spark, base)
+    return base
+
+
+def _snapshot_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_snapshot_log(spark, write_snapshot_log(spark, sf_dir))
 
 
 def upserted(spark, sf_dir):
     return serving.newest_per_key(_snapshot_log(spark, sf_dir), ("batch_id",))
 
 
+def compacted(spark, sf_dir):
+    """The log itself after compaction of its older days: one version of each of their keys."""
+    base = write_snapshot_log(spark, sf_dir)
+    compact_snapshots(spark, base, before="2024-01-20")
+    log = read_snapshot_log(spark, base)
+    return log.groupBy("day").agg(
+        F.count("*").alias("versions"),
+        F.count_distinct("time_tag").alias("keys"),
+        F.count_if(F.col("risk_band") == "revised").alias("revised"),
+        F.count_distinct("batch_id").alias("batches"),
+    )
+
+
 def latest(n: int):
     return lambda spark, sf_dir: serving.latest_snapshots(_snapshot_log(spark, sf_dir), n)
 
@@ -465,6 +522,26 @@ def merged(spark, sf_dir):
     return serving.serving_merge(live, agg.summary(history), exact_percentiles(history))
 
 
+def serving_stream(spark, sf_dir):
+    """Snapshots of the month's halves as a stream; between them the documents are replaced."""
+    base = shared_path(configure(spark), "serving")
+    snapshots = rolling(spark, sf_dir)
+    second = F.substring("time_tag", 9, 2) > "15"
+    layout = OutputLayout(f"{base}/batch")
+
+    def sink(merged: DataFrame, batch_id: int) -> None:
+        merged.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+
+    for own in (~second, second):
+        snapshots.where(own).write.mode("append").parquet(f"{base}/in")
+        known = _prepared(spark, sf_dir).where(F.lit(True) if own is second else F.dayofmonth("timestamp") <= 15)
+        write_document(agg.summary(known), layout.document("summary"))
+        write_document(exact_percentiles(known), layout.document("percentiles"))
+        live = stream_files(spark, f"{base}/in", "parquet", snapshots.schema)
+        start_serving_merge(live, layout.base, sink, f"{base}/checkpoint", availableNow=True).awaitTermination()
+    return spark.read.parquet(f"{base}/out").withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
 def serving_view(spark, sf_dir):
     history = _prepared(spark, sf_dir)
     live = serving.latest_snapshots(_snapshot_log(spark, sf_dir))
@@ -578,11 +655,15 @@ QUERIES = {
     "rejected_observations": refused_observations,
     "emit_events": emitted_events,
     "archive_raw": archived,
+    "produce_stream": produced,
+    "produce_rejects_stream": produce_rejects,
     "upsert_snapshots": upserted,
+    "compact_snapshots": compacted,
     "latest_snapshots": latest(50),
     "display_rows": displayed,
     "live_series": live_series,
     "serving_merge": merged,
+    "serving_view_stream": serving_stream,
     "serving_view": serving_view,
     "overview": overview,
     "daily_series": daily_series,

@@ -230,6 +230,7 @@ def _payload_rows(*sources: str) -> str:
     return f"WITH {PAYLOAD} SELECT time_tag, {rounded} FROM ({union})"
 
 
+REFUSED_PAYLOAD = "CASE WHEN event_id % 7 = 6 THEN '{broken' ELSE CAST(value AS VARCHAR) END"
 RECORD = 'speed, density, temperature, bx, "by", bz, bt'
 STORMS = "SELECT ts AS \"timestamp\", speed, density, bt, disturbance_score, risk_band FROM prepared WHERE speed >= 700"
 
@@ -286,8 +287,11 @@ UNION ALL SELECT iso, speed, density, bt, 'measure', CAST(part AS BIGINT) FROM s
     "normalize_grid": _payload_rows("grids"),
     "normalize_features": _payload_rows("features", "flats"),
     "normalize_payloads": _payload_rows("grids", "features", "flats"),
-    "rejected_payloads": """SELECT event_id % 7 = 6 AS broken, count(*) AS n FROM events
-WHERE event_id % 7 IN (5, 6) GROUP BY 1""",
+    "rejected_payloads": f"SELECT event_id, {REFUSED_PAYLOAD} AS payload FROM events WHERE event_id % 7 IN (5, 6)",
+    "produce_stream": f"""WITH sent AS ({_payload_rows("grids", "features", "flats")})
+SELECT time_tag AS "key", sent.* FROM sent""",
+    "produce_rejects_stream": f"""SELECT event_id, {REFUSED_PAYLOAD} AS payload, event_id % 2 AS batch_id
+FROM events WHERE event_id % 7 IN (5, 6)""",
     "parse_events": f"""WITH {OBS} SELECT
   {", ".join(f'CASE WHEN event_id % 17 <> 0 THEN {src} END AS {name}' for src, name in (
       ("iso", "time_tag"), ("speed", "speed"), ("density", "density"),
@@ -301,6 +305,11 @@ FROM cleaned WHERE event_id % 19 = 0""",
   CAST(month(ts) AS INTEGER) AS "month", CAST(day(ts) AS INTEGER) AS "day",
   CAST(hour(ts) AS INTEGER) AS "hour" FROM obs""",
     "upsert_snapshots": f"{SERVED} SELECT * FROM revised",
+    "compact_snapshots": f"""{SERVED}, days AS (SELECT substr("key", 1, 10) AS "day", * FROM revised)
+SELECT "day", count(*) + CASE WHEN "day" < '2024-01-20' THEN 0 ELSE count(*) FILTER (risk_band = 'revised') END AS versions,
+  count(DISTINCT time_tag) AS "keys", count(*) FILTER (risk_band = 'revised') AS revised,
+  CASE WHEN "day" < '2024-01-20' OR count(*) FILTER (risk_band = 'revised') = 0 THEN 1::BIGINT ELSE 2::BIGINT END AS batches
+FROM days GROUP BY "day" """,
     "latest_snapshots": f'{SERVED} SELECT * EXCLUDE ("key") FROM latest',
     "display_rows": f"""{SERVED} SELECT time_tag, current_speed, rolling_avg_speed, disturbance_score,
   risk_band FROM latest ORDER BY "key" DESC LIMIT 10""",
@@ -309,6 +318,14 @@ FROM cleaned WHERE event_id % 19 = 0""",
     "serving_merge": f"""WITH {_snapshots()}, {HISTORY} SELECT time_tag, current_speed, rolling_avg_speed,
   summary.avg_speed AS historical_avg_speed, ranks.p95 AS historical_p95_speed,
   ranks.p99 AS historical_p99_speed, disturbance_score, risk_band FROM snaps, summary, ranks""",
+    "serving_view_stream": f"""WITH {_snapshots()}, {CLEAN}, {PREPARED},
+known AS (SELECT 0 AS half, * FROM prepared WHERE day(ts) <= 15 UNION ALL SELECT 1, * FROM prepared),
+figures AS (SELECT half, {three("avg(speed)")} AS historical_avg_speed,
+  quantile_disc(speed, 0.95) AS historical_p95_speed, quantile_disc(speed, 0.99) AS historical_p99_speed
+  FROM known GROUP BY half)
+SELECT time_tag, current_speed, rolling_avg_speed, historical_avg_speed, historical_p95_speed,
+  historical_p99_speed, disturbance_score, risk_band, CAST(half AS BIGINT) AS batch_id
+FROM snaps JOIN figures ON half = CAST(substr(time_tag, 9, 2) > '15' AS INTEGER)""",
     "serving_view": f"""{SERVED}, {HISTORY} SELECT summary.avg_speed AS historical_avg_speed,
   ranks.p95 AS historical_p95_speed, current_speed AS latest_current_speed,
   rolling_avg_speed AS latest_rolling_avg_speed, disturbance_score AS latest_disturbance_score,

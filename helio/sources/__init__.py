@@ -5,6 +5,7 @@ from .readers import (
     read_document,
     read_observations,
     read_output,
+    read_snapshot_log,
     read_snapshots,
     stream_files,
     stream_observations,
@@ -18,6 +19,7 @@ __all__ = [
     "read_document",
     "read_observations",
     "read_output",
+    "read_snapshot_log",
     "read_snapshots",
     "spark_uri",
     "stream_files",

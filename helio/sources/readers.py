@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -17,6 +21,7 @@ STARTS = {
         "TRIM_HORIZON": ("initialPosition", "TRIM_HORIZON"),
     },
 }
+SNAPSHOT_FOLDER = re.compile(r"/day=([^/]+)/batch_id=(\d+)/")
 STREAM_NAMES = {"kafka": "subscribe", "kinesis": "streamName"}
 CSV_OPTIONS = {"header": True, "mode": "PERMISSIVE"}
 
@@ -90,7 +95,7 @@ def stream_observations(
     return reader.load()
 
 
-def read_document(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_document(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """One JSON document, over one line or many."""
     reader = spark.read.option("multiLine", True)
     if schema is not None:
@@ -98,21 +103,44 @@ def read_document(spark: SparkSession, path: str, schema: T.StructType | None =
     return reader.json(spark_uri(path))
 
 
-def read_parquet_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+def _if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
     try:
-        return spark.read.parquet(spark_uri(path))
+        return read()
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
+def read_document_if_present(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame | None:
+    return _if_present(lambda: read_document(spark, path, schema))
+
+
+def read_parquet_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    return _if_present(lambda: spark.read.parquet(spark_uri(path)))
+
+
 def read_output(spark: SparkSession, base: str, table: str) -> DataFrame | None:
     """A batch table written earlier, or None where there is none."""
     return read_parquet_if_present(spark, OutputLayout(base).table(table))
 
 
+def read_snapshot_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log of live snapshots with the ``day`` that holds them, a folder whose files need not be opened."""
+    versions = [T.StructField("day", T.StringType()), T.StructField("batch_id", T.LongType())]
+    return spark.read.schema(T.StructType([*SNAPSHOT.fields, *versions])).parquet(spark_uri(path))
+
+
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """The log of live snapshots; ``batch_id`` tells the versions of a key apart."""
-    schema = T.StructType([*SNAPSHOT.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).parquet(spark_uri(path))
+    return read_snapshot_log(spark, path).drop("day")
+
+
+def snapshot_days(log: DataFrame) -> dict[str, set[int]]:
+    """The days of a log and the batches of each, from the names of its files."""
+    days: dict[str, set[int]] = {}
+    for name in log.inputFiles():
+        if found := SNAPSHOT_FOLDER.search(name):
+            # names in URIs are escaped once more
+            days.setdefault(unquote(unquote(found[1])), set()).add(int(found[2]))
+    return days

@@ -39,3 +39,14 @@ def test_produce(spark, tmp_path):
     rows = {r["speed"]: r["time_tag"] for r in spark.read.json(out).collect()}
     assert rows[1.0] == "t"
     assert rows[2.0].endswith("Z")
+
+
+def test_produce_goes_on_from_its_checkpoint(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    out, told = str(tmp_path / "out"), ["--checkpoint", str(tmp_path / "checkpoint"), "--once"]
+    for i, text in enumerate(['{"speed": 1, "time": "t"}', "no payload", '[\n{"speed": 2, "time": "u"}]']):
+        (tmp_path / "in" / f"{i}.json").write_text(text)
+        main(["produce", "--source", "payloads", "--input", str(tmp_path / "in"), "--output", out, *told])
+    sent = spark.read.schema("key string, value string, batch_id int").json(out).collect()
+    assert {(r["key"], json.loads(r["value"])["speed"], r["batch_id"]) for r in sent} == {("t", 1.0, 0), ("u", 2.0, 2)}
+    assert [r["payload"] for r in spark.read.json(f"{out}-rejects").collect()] == ["no payload"]

@@ -7,14 +7,20 @@ from pyspark.sql import functions as F
 
 from helio.operators.trailing import rolling_snapshot
 from helio.operators.windows import speed_windows
-from helio.sources import read_snapshots, stream_files, stream_observations
+from helio.operators.serving import latest_snapshots
+from helio.sources import OutputLayout, read_snapshot_log, read_snapshots, stream_files, stream_observations, write_document
+from helio.sources.readers import snapshot_days
 from helio.streaming import (
     archive_batch,
+    compact_snapshots,
+    once_per_batch,
     parse_events,
     rejected_events,
     score_events,
     start_archive,
+    start_produce,
     start_rolling_snapshots,
+    start_serving_merge,
     start_speed_windows,
     stream_speed_windows,
     upsert_snapshots,
@@ -285,3 +291,112 @@ def test_window_totals_equal_a_loop():
         own = [r for r in rows if t - 17 <= r[0] <= t]
         want = (len(own), *[sum(r[i] for r in own) for i in (2, 3, 4)], min(r[2] for r in own), max(r[2] for r in own))
         assert tuple(got[f"w_{c}"][k] for c in ("n", "speed", "density", "bt", "lo", "hi")) == pytest.approx(want)
+
+
+def test_archive_files_hold_a_hundred_records_and_empty_batches_write_none(spark, tmp_path, feed):
+    def run():
+        stream = feed.stream().withColumn("arrival_ts", F.lit("2026-03-04 05:06:07").cast("timestamp"))
+        encoded = stream.withColumn("data", F.base64("data"))
+        query = start_archive(encoded, str(tmp_path / "raw"), str(tmp_path / "checkpoint"), availableNow=True)
+        query.awaitTermination()
+
+    feed.add(*[f"line {i}" for i in range(250)])
+    run()
+    folder = tmp_path / "raw" / "year=2026" / "month=03" / "day=04" / "hour=05" / "second=050607"
+    files = sorted(folder.glob("*.txt"))
+    assert sorted(len(f.read_text().splitlines()) for f in files) == [50, 100, 100]
+    (feed.folder / "nothing.txt").write_text("")
+    run()
+    assert sorted(folder.glob("*.txt")) == files
+
+
+# --- snapshot log ----------------------------------------------------------------------
+
+
+@pytest.fixture
+def log(spark, tmp_path):
+    path = str(tmp_path / "log")
+    days = [records(spark, *[(f"2026-01-{d:02d}T00:00:{i:02d}Z", 400.0 + d) for i in range(4)]) for d in range(1, 10)]
+    for batch, day in enumerate(days):
+        upsert_snapshots(rolling_snapshot(day), path, batch)
+    # the ninth batch revises two old keys and one new one
+    late = records(spark, ("2026-01-02T00:00:01Z", 900.0), ("2026-01-03T00:00:00Z", 900.0), ("2026-01-09T00:00:03Z", 900.0))
+    upsert_snapshots(rolling_snapshot(late), path, 9)
+    return path
+
+
+def test_only_the_newest_days_are_read(spark, log):
+    found = latest_snapshots(read_snapshot_log(spark, log), 6)
+    assert [r["time_tag"][8:19] for r in found.collect()] == ["08T00:00:02", "08T00:00:03", *[f"09T00:00:0{i}" for i in range(4)]]
+    assert found.collect()[-1]["current_speed"] == 900.0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan or "PartitionFilters: [day" in plan
+    assert "2026-01-08" in plan and "2026-01-07" not in plan
+    assert latest_snapshots(read_snapshot_log(spark, log), 1000).count() == 36
+
+
+def test_compaction_keeps_the_newest_versions(spark, log):
+    def newest():
+        return sorted(map(tuple, latest_snapshots(read_snapshot_log(spark, log), 1000).collect()))
+
+    before = newest()
+    assert compact_snapshots(spark, log, before="2026-01-05") == ["2026-01-02", "2026-01-03"]
+    assert newest() == before
+    days = snapshot_days(read_snapshot_log(spark, log))
+    assert days["2026-01-02"] == {9} and days["2026-01-09"] == {8, 9} and days["2026-01-01"] == {0}
+    assert read_snapshots(spark, log).count() == 37
+    assert compact_snapshots(spark, log) == ["2026-01-09"]
+    assert compact_snapshots(spark, log) == []
+    assert newest() == before
+
+
+# --- serving and producing ---------------------------------------------------------------
+
+
+def test_replaced_documents_show_in_the_next_batch(spark, tmp_path):
+    snapshots = rolling_snapshot(sample(spark))
+    layout = OutputLayout(str(tmp_path / "batch"))
+
+    def run(own, averages):
+        snapshots.where(own).write.mode("append").parquet(str(tmp_path / "in"))
+        if averages:
+            write_document(spark.createDataFrame([averages[:1]], "avg_speed double"), layout.document("summary"))
+            write_document(spark.createDataFrame([averages[1:]], "p95 double, p99 double"), layout.document("percentiles"))
+        live = stream_files(spark, str(tmp_path / "in"), "parquet", snapshots.schema)
+        sink = once_per_batch(str(tmp_path / "out"), "parquet")
+        start_serving_merge(live, layout.base, sink, str(tmp_path / "checkpoint"), availableNow=True).awaitTermination()
+
+    day = F.substring("time_tag", 1, 10)
+    # no document is there yet, then one, then another
+    run(F.col("current_speed") < 500, None)
+    run((F.col("current_speed") >= 500) & (day == "2026-07-25"), (500.0, 600.0, 700.0))
+    run((F.col("current_speed") >= 500) & (day == "2026-07-26"), (550.0, 650.0, 750.0))
+    found = spark.read.parquet(str(tmp_path / "out")).groupBy("batch_id").agg(
+        F.collect_set(F.struct(*[F.coalesce(c, F.lit(-1.0)) for c in ("historical_avg_speed", "historical_p95_speed", "historical_p99_speed")])).alias("h")
+    )
+    assert {r["batch_id"]: [tuple(h) for h in r["h"]] for r in found.collect()} == {
+        0: [(-1.0, -1.0, -1.0)], 1: [(500.0, 600.0, 700.0)], 2: [(550.0, 650.0, 750.0)],
+    }
+
+
+def test_a_repeated_batch_produces_each_record_once(spark, feed, tmp_path):
+    feed.add('{"speed": 1, "time": "t"}', "broken", '[{"speed": 2, "time": "u"}, 5]')
+    sink, rejects = once_per_batch(str(tmp_path / "out")), once_per_batch(str(tmp_path / "bad"))
+    calls = []
+
+    def send(rows, batch_id):
+        sink(rows, batch_id)
+        calls.append(batch_id)
+        if len(calls) == 1:
+            raise RuntimeError("lost after writing")
+
+    def run():
+        query = start_produce(stream_files(spark, str(feed.folder), "text", "value string"), send, str(tmp_path / "checkpoint"), rejects=rejects, availableNow=True)
+        query.awaitTermination()
+
+    with pytest.raises(Exception, match="lost after writing"):
+        run()
+    run()
+    assert calls == [0, 0]
+    assert sorted(r["key"] for r in spark.read.json(str(tmp_path / "out")).collect()) == ["t", "u"]
+    assert sorted(r["payload"] for r in spark.read.json(str(tmp_path / "bad")).collect()) == ['[{"speed": 2, "time": "u"}, 5]', "broken"]
