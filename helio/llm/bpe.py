@@ -5,16 +5,21 @@ adjacent pair of its tokens is what merging the two tokens' letters gives, as me
 boundary depend on its two sides only; all pairs of a batch are tested against the known ones in one
 step, and only words with a wrong pair are merged exactly. Words are kept in a bounded cache.
 
+Texts are cut at special tokens first, in the spelling of the vocabulary, then at white space. Chunks
+beyond ASCII take their normal form and their words from the library's own normaliser and pre-tokenizer, whose
+tables of code points are not Python's; merging is done here. Words longer than a grid's row are merged by a heap over
+a linked list, so that time grows with their length and a grid with its rows.
+
 Defined cases: null is the empty text; it and blank text have no tokens and decode to the empty
-text; special tokens that occur in a text are encoded as such; equal texts encode alike.
+text; special tokens that occur in a text are encoded as such, other spellings of them are text; equal texts encode alike.
 """
 
 import hashlib
 import json
-import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -30,11 +35,12 @@ SPACE = regex.compile("[\t-\r \x85\xa0  -     　]+")
 _CONTROLS = regex.compile("[\x1c-\x1f]")
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 WORD_END = "</w>"
-#: Words and pairs that a worker keeps in each generation of its caches.
-CACHE_WORDS, CACHE_PAIRS = 120_000, 500_000
+#: Chunks, words and pairs that a worker keeps in each generation of its caches.
+CACHE_CHUNKS, CACHE_WORDS, CACHE_PAIRS = 300_000, 200_000, 500_000
 #: Code points of texts whose new words are learnt in one step, about.
 GROUP_CHARS = 1 << 20
-MERGE_ROWS = 2048
+#: Cells of a grid of rows that are merged together, and the longest row in one.
+GRID_CELLS, GRID_WIDTH = 1 << 17, 64
 NO_RANK = 1 << 40
 
 RESULT = T.StructType(
@@ -89,8 +95,12 @@ class Codec:
     """Encodes and decodes with one vocabulary file of word-end byte-pair encoding."""
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         self.ids: dict[str, int] = spec["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
@@ -100,7 +110,12 @@ class Codec:
             np.array([self.ids[a + b] for a, b in merges], dtype=np.int64),
         )
         self.longest = max(map(len, self.ids))
-        self.letters = byte_letters()
+        #: The longest entry that begins with some two letters.
+        self.reach: dict[str, int] = {}
+        for name in self.ids:
+            self.reach[name[:2]] = max(len(name), self.reach.get(name[:2], 1))
+        self.plain = dict(enumerate(byte_letters()[:128]))
+        self.by_pair = {self.ids[a] << 32 | self.ids[b]: (rank, self.ids[a + b]) for rank, (a, b) in enumerate(merges)}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         # two generations of each cache: what is used again outlives the older one
         self.chunks: dict[str, tuple[bytes, str]] = {}
@@ -115,47 +130,81 @@ class Codec:
     def merged(self, rows: list[list[int]]) -> list[list[int]]:
         """Exact merging of many rows of ids: the pair of lowest rank first, leftmost on ties.
 
-        Rows of like length are merged together, one merge of each row a step.
+        Rows of like length are merged together, one merge of each row a step; long ones each by a heap.
         """
         out: list[list[int]] = [[] for _ in rows]
         order = sorted(range(len(rows)), key=lambda i: len(rows[i]))
-        for lo in range(0, len(order), MERGE_ROWS):
-            own = order[lo : lo + MERGE_ROWS]
-            width = len(rows[own[-1]])
-            grid = np.full((len(own), width + 1), -1, dtype=np.int64)
-            for k, i in enumerate(own):
-                grid[k, : len(rows[i])] = rows[i]
-            active = np.arange(len(own))
-            while len(active) and grid.shape[1] > 1:
-                now = grid[active]
-                ranks, made = self.pairs.find(now[:, :-1] << 32 | (now[:, 1:] & 0xFFFFFFFF), now[:, 1:] >= 0)
-                at = ranks.argmin(axis=1)
-                each = np.arange(len(active))
-                going = ranks[each, at] < NO_RANK
-                active, now, at, made = active[going], now[going], at[going], made[going]
-                if not len(active):
-                    break
-                each = np.arange(len(active))
-                column = np.arange(width + 1)
-                source = np.minimum(column + (column > at[:, None]), width)
-                moved = np.take_along_axis(now, source, axis=1)
-                moved[each, at] = made[each, at]
-                moved[:, width] = -1
-                grid[active] = moved
-            for k, i in enumerate(own):
-                row = grid[k]
-                out[i] = row[row >= 0].tolist()
+        lo = 0
+        while lo < len(order) and len(rows[order[lo]]) <= GRID_WIDTH:
+            hi = lo + 1
+            while hi < len(order) and len(rows[order[hi]]) <= GRID_WIDTH and (hi - lo) * len(rows[order[hi]]) < GRID_CELLS:
+                hi += 1
+            own = order[lo:hi]
+            for i, row in zip(own, self._merged_grid([rows[i] for i in own]), strict=True):
+                out[i] = row
+            lo = hi
+        for i in order[lo:]:
+            out[i] = self._merged_long(rows[i])
         return out
 
+    def _merged_grid(self, rows: list[list[int]]) -> list[list[int]]:
+        """Rows in order of length, padded to the last one's."""
+        width = len(rows[-1])
+        grid = np.full((len(rows), width + 1), -1, dtype=np.int64)
+        for k, row in enumerate(rows):
+            grid[k, : len(row)] = row
+        active = np.arange(len(rows))
+        while len(active) and width:
+            now = grid[active]
+            ranks, made = self.pairs.find(now[:, :-1] << 32 | (now[:, 1:] & 0xFFFFFFFF), now[:, 1:] >= 0)
+            at = ranks.argmin(axis=1)
+            going = ranks[np.arange(len(active)), at] < NO_RANK
+            active, now, at, made = active[going], now[going], at[going], made[going]
+            if not len(active):
+                break
+            each, column = np.arange(len(active)), np.arange(width + 1)
+            moved = np.take_along_axis(now, np.minimum(column + (column > at[:, None]), width), axis=1)
+            moved[each, at] = made[each, at]
+            moved[:, width] = -1
+            grid[active] = moved
+        return [row[row >= 0].tolist() for row in grid]
+
+    def _merged_long(self, row: list[int]) -> list[int]:
+        ids, known, none = [*row], self.by_pair, -1
+        before, after = list(range(-1, len(ids) - 1)), [*range(1, len(ids)), none]
+        heap = []
+
+        def offer(i: int) -> None:
+            j = after[i]
+            if j != none and (found := known.get(ids[i] << 32 | ids[j])):
+                heappush(heap, (found[0], i, found[1], ids[i], ids[j]))
+
+        for i in range(len(ids) - 1):
+            offer(i)
+        while heap:
+            _, i, made, left, right = heappop(heap)
+            j = after[i]
+            # an entry is stale if one of its two has been merged since
+            if ids[i] != left or j == none or ids[j] != right:
+                continue
+            ids[i], ids[j], after[i] = made, none, after[j]
+            if after[j] != none:
+                before[after[j]] = i
+            offer(i)
+            if before[i] != none:
+                offer(before[i])
+        return [x for x in ids if x != none]
+
     def _proposed(self, letters: str) -> list[int] | None:
         """Greedy longest matches over a word's letters, the word end being part of the last."""
-        ids, at, end, known = [], 0, len(letters), self.ids
+        ids, at, end, known, reach = [], 0, len(letters), self.ids, self.reach
         while at < end:
-            found = known.get(letters[at:] + WORD_END)
-            if found is not None:
-                ids.append(found)
-                return ids
-            for stop in range(min(end - 1, at + self.longest), at, -1):
+            if end - at <= self.longest:
+                found = known.get(letters[at:] + WORD_END)
+                if found is not None:
+                    ids.append(found)
+                    return ids
+            for stop in range(min(end - 1, at + reach.get(letters[at : at + 2], 1)), at, -1):
                 found = known.get(letters[at:stop])
                 if found is not None:
                     break
@@ -171,11 +220,10 @@ class Codec:
         return self._symbols(name[: -len(WORD_END)] if ends else name, ends)
 
     def learn_words(self, words: list[str]) -> None:
-        """Encode new words: propose, test all adjacent pairs, merge what fails."""
+        """Encode new words, given by their letters: propose, test all adjacent pairs, merge what fails."""
         if len(self.fits) > CACHE_PAIRS:
             self.fits = {}
-        letters = ["".join([self.letters[b] for b in w.encode("utf-8", "surrogatepass")]) for w in words]
-        proposals = [self._proposed(x) for x in letters]
+        proposals = [self._proposed(w) for w in words]
         sizes = np.array([len(p) if p else 0 for p in proposals], dtype=np.int64)
         flat = np.array([i for p in proposals if p for i in p], dtype=np.int64)
         owner = np.repeat(np.arange(len(words)), sizes)
@@ -194,26 +242,34 @@ class Codec:
         wrong |= sizes == 0
         wrong[alone] = [not self.fits[p] for p in (-1 - single).tolist()]
         failed = np.flatnonzero(wrong).tolist()
-        for i, ids in zip(failed, self.merged([self._symbols(letters[i], True) for i in failed]), strict=True):
+        for i, ids in zip(failed, self.merged([self._symbols(words[i], True) for i in failed]), strict=True):
             proposals[i] = ids
         for word, ids in zip(words, proposals, strict=True):
             self.words[word] = ids
 
     def split(self, text: str) -> list[str]:
-        """Normal form, cut at white space: no word crosses it."""
-        if not text.isascii() and not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
+        """Chunks between white space, which no word crosses; those in ASCII in lower case."""
         if _CONTROLS.search(text):
-            return [c for c in SPACE.split(text.replace("Σ", "σ").lower()) if c]
-        return text.replace("Σ", "σ").lower().split()
+            chunks = [c for c in SPACE.split(text) if c]
+        elif text.isascii():
+            return text.lower().split()
+        else:
+            chunks = text.split()
+        return [c.lower() if c.isascii() else c for c in chunks]
+
+    def words_of(self, chunk: str) -> list[str]:
+        """The words of a chunk, each by the letters of its bytes."""
+        if not chunk.isascii():
+            return [w for w, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(chunk))]
+        words = WORD.findall(chunk)
+        return words if chunk.isprintable() else [w.translate(self.plain) for w in words]
 
     def _learn(self, new: list[str]) -> None:
         if len(self.words) > CACHE_WORDS:
             self.words, self.old_words = {}, self.words
-        self.words |= {s: [i] for s, i in self.special.items()}
-        found = [[c] if c in self.special else WORD.findall(c) for c in new]
+        found = [self.words_of(c) for c in new]
         words = {w for ws in found for w in ws}.difference(self.words)
-        for w in words.intersection(self.old_words):
+        for w in [w for w in words if w in self.old_words]:
             self.words[w] = self.old_words[w]
             words.remove(w)
         if words:
@@ -235,12 +291,14 @@ class Codec:
                 lo, size = i + 1, 0
 
     def _group(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
-        cut = [self.cut.split(t) if any(s in t for s in self.special) else [t] for t in texts]
-        split = [[[p] if p in self.special else self.split(p) for p in parts] for parts in cut]
-        if len(self.chunks) > CACHE_WORDS:
+        # every second part is a special token; its key cannot be a chunk's, as it holds a space
+        cut = [self.cut.split(t) if self.cut and any(s in t for s in self.special) else [t] for t in texts]
+        split = [[[" " + p] if k % 2 else self.split(p) for k, p in enumerate(parts)] for parts in cut]
+        if len(self.chunks) > CACHE_CHUNKS:
             self.chunks, self.old_chunks = {}, self.chunks
+        self.chunks |= {" " + s: (array("I", [i]).tobytes(), s) for s, i in self.special.items()}
         new = {c for parts in split for chunks in parts for c in chunks}.difference(self.chunks)
-        for c in new.intersection(self.old_chunks):
+        for c in [c for c in new if c in self.old_chunks]:
             self.chunks[c] = self.old_chunks[c]
             new.remove(c)
         if new:
