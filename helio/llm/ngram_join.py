@@ -68,6 +68,10 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> Iterator[np.ndarray
                 yield np.zeros(0, dtype=np.uint64)
 
 
+#: Bytes of texts whose shingles are held at a time when they are signed.
+SIGN_BYTES = 1 << 19
+
+
 class Parts:
     """Classes of set sizes, and the number of parts of each class' partition."""
 
@@ -119,8 +123,9 @@ class Parts:
             seed = mix(level.astype(np.uint64) + np.uint64(101))
             spread = mix(flat ^ seed[each])
             at = first[each] + ((spread >> np.uint64(33)) % number[each].astype(np.uint64)).astype(np.int64)
-            low = np.bincount(at, weights=(spread & np.uint64(0xFFFFFFFF)).astype(float), minlength=first[-1])
-            high = np.bincount(at, weights=(flat >> np.uint64(32)).astype(float), minlength=first[-1])
+            low = np.bincount(at, weights=spread & np.uint64(0xFFFFFFFF), minlength=first[-1])
+            high = np.bincount(at, weights=flat >> np.uint64(32), minlength=first[-1])
+            del spread
             filled = np.bincount(at, minlength=first[-1])
             telling = np.bincount(at, weights=rare, minlength=first[-1])
             doc = np.repeat(np.arange(len(some)), number)
@@ -193,9 +198,12 @@ def _signed(parts: Parts, common: np.ndarray, size: int):
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             data, ids = utf8(frame["text"]), frame["doc_id"].to_numpy(dtype=np.int64)
-            for lo, hi in blocks(data, 4 << 20):
-                signature, owner = parts.signatures(list(shingle_sets(data[lo:hi], size)), common)
-                docs = ids[lo:hi][owner]
+            # small blocks bound the arrays of shingles; what documents share is found over the whole batch
+            found = [(lo, parts.signatures(list(shingle_sets(data[lo:hi], size)), common)) for lo, hi in blocks(data, SIGN_BYTES)]
+            if found:
+                signature = np.concatenate([s for _, (s, _) in found])
+                docs = ids[np.concatenate([lo + owner for lo, (_, owner) in found])]
+                found.clear()
                 # of documents that share a signature here, one keeps it and the others meet that one
                 order = np.argsort(signature, kind="stable")
                 signature, docs = signature[order], docs[order]
