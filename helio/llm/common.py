@@ -33,6 +33,32 @@ def parallel(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: The column that holds a caller's other columns while an operator works.
+ASIDE = "__aside"
+
+
+def set_aside(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, and all other columns as one, so that none meets a working column of its name."""
+    others = [F.col(f"`{c}`").alias(c) for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*others or [F.lit(None).alias("none")]).alias(ASIDE))
+
+
+def put_back(done: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, with the text that ``done`` has."""
+
+    def column(name: str):
+        if name in ("doc_id", "text"):
+            return F.col(name)
+        return F.col(ASIDE)[name].alias(name)
+
+    return done.select(*[column(c) for c in docs.columns])
+
+
+def with_length(docs: DataFrame) -> DataFrame:
+    """``n_chars``, if there is one, as the length of the text that is there now."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
 def fold(column: str, mod: int):
     """crc32 of the id's text, modulo ``mod``; null ids count as the text "null"."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("null")).cast("binary")) % mod

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from helio.llm.common import table
+from helio.llm.common import put_back, set_aside, table, with_length
 from helio.session import materialize
 
 #: White space that is stripped at both ends of a line.
@@ -158,30 +158,25 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of ``docs``, with ``_lines`` and ``_kept``: the lines before and after."""
-    lost = repeated_lines(docs, doc_id, text)
+    """All columns of ``docs``, with ``_lines`` and ``_kept`` in place of columns of those names: the lines before and after."""
+    lost = repeated_lines(docs, doc_id, text).toDF("__doc", "__digests")
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
-    kept = F.when(F.col("digests").isNull(), F.col("_lines")).otherwise(
-        F.filter("_lines", lambda line: ~F.array_contains("digests", _digest(line_key(line))))
+    kept = F.when(F.col("__digests").isNull(), F.col("_lines")).otherwise(
+        F.filter("_lines", lambda line: ~F.array_contains("__digests", _digest(line_key(line))))
     )
     return (
-        docs.join(lost, docs[doc_id] == lost["_doc"], "left")
+        docs.join(lost, docs[doc_id] == lost["__doc"], "left")
         .withColumn("_lines", lines)
         .withColumn("_kept", kept)
-        .drop("_doc", "digests")
+        .drop("__doc", "__digests")
     )
 
 
 def clean(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``; a document without lines left goes."""
-    done = drop_repeats(docs)
+    done = drop_repeats(set_aside(docs)).where(F.size("_kept") > 0)
     text = F.when(F.size("_kept") == F.size("_lines"), F.col("text")).otherwise(F.array_join("_kept", "\n"))
-    names = docs.columns
-    if "n_chars" in names:
-        out = done.where(F.size("_kept") > 0).withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
-    else:
-        out = done.where(F.size("_kept") > 0).withColumn("text", text)
-    return out.select(*names)
+    return with_length(put_back(done.withColumn("text", text), docs))
 
 
 def query(spark, sf_dir):

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helio.llm.common import Words, blocks, byte_values, mix, table, utf8, whole_groups
+from helio.llm.common import Words, blocks, byte_values, mix, put_back, set_aside, table, utf8, whole_groups
 from helio.llm.components import components
 from helio.session import materialize
 
@@ -500,8 +500,8 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: i
 
 def clean(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each component; a null doc_id stays."""
-    done = similar(docs, size=size, percent=percent)
-    return done.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select(*docs.columns)
+    done = similar(set_aside(docs), size=size, percent=percent)
+    return put_back(done.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))), docs)
 
 
 def query(spark, sf_dir):

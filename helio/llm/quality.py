@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from helio.llm.common import Words, blocks, byte_values, table, utf8
+from helio.llm.common import Words, blocks, byte_values, put_back, set_aside, table, utf8
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 #: Distinct texts that train the linear scorer, at most.
@@ -286,13 +286,13 @@ def scorer(model: Model):
 
 
 def judge(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and the struct ``quality``."""
+    """All columns of ``docs`` and the struct ``quality``, in place of a column of that name."""
     return docs.withColumn("quality", scorer(model)(F.col(text)))
 
 
 def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, unchanged."""
-    return judge(docs, learn(docs)).where(F.col("quality.score") >= threshold).drop("quality")
+    return put_back(judge(set_aside(docs), learn(docs)).where(F.col("quality.score") >= threshold), docs)
 
 
 def query(spark, sf_dir):

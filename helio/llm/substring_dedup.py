@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from helio.llm.common import blocks, byte_values, joined, mix, table, utf8
+from helio.llm.common import blocks, byte_values, joined, mix, put_back, set_aside, table, utf8, with_length
 
 #: Word starts of a window, whose least hash begins a chunk: one word's start in six, about.
 WINDOW_WORDS = 11
@@ -180,23 +180,21 @@ def earlier_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and the struct ``rest``: the text left and counts of chunks."""
-    later = earlier_chunks(docs, doc_id, text)
-    key = F.coalesce(docs[doc_id].cast("long"), F.lit(_LAST)) == later["_doc"]
+    """All columns of ``docs`` and the struct ``rest``, in place of a column of that name: the text left and counts of chunks."""
+    later = earlier_chunks(docs, doc_id, text).toDF("__doc", "__earlier")
+    key = F.coalesce(docs[doc_id].cast("long"), F.lit(_LAST)) == later["__doc"]
     return (
         docs.join(later, key, "left")
-        .withColumn("rest", remove_runs(F.col(text), F.col("earlier")))
-        .drop("_doc", "earlier")
+        .withColumn("rest", remove_runs(F.col(text), F.col("__earlier")))
+        .drop("__doc", "__earlier")
     )
 
 
 def clean(docs: DataFrame) -> DataFrame:
     """``docs`` without repeated passages; a document of which nothing is left goes."""
-    done = dedup(docs).withColumn("text", F.col("rest.text"))
-    if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.length("text").cast("long"))
+    done = dedup(set_aside(docs)).withColumn("text", F.col("rest.text"))
     emptied = (F.col("rest.dropped_chars") > 0) & (F.length(F.btrim("text")) == 0)
-    return done.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
+    return with_length(put_back(done.where(~F.coalesce(emptied, F.lit(False))), docs))
 
 
 def query(spark, sf_dir):
