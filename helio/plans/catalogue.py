@@ -127,27 +127,29 @@ def correlations(spark, sf_dir):
     return _six_all(agg.correlations(_prepared(spark, sf_dir)))
 
 
-def percentiles_in_bound(spark, sf_dir):
-    """Whether each approximate percentile's true rank lies within the promised error."""
-    rows = _prepared(spark, sf_dir)
-    found = agg.percentiles(rows).select(F.struct(*agg.PERCENTILES)).scalar()
+def _within_bound(rows: DataFrame, found: Column) -> DataFrame:
+    """For each percentile in the struct ``found`` whether its true rank lies within the promised error."""
     ranked = rows.select("speed", found.alias("found")).agg(
         F.count("*").alias("n"),
         *[F.count_if(F.col("speed") < F.col("found")[p]).alias(f"lt_{p}") for p in agg.PERCENTILES],
         *[F.count_if(F.col("speed") <= F.col("found")[p]).alias(f"le_{p}") for p in agg.PERCENTILES],
     )
     slack = agg.RANK_ERROR
-    checks = [
-        F.struct(
-            F.lit(name).alias("percentile"),
-            (
-                (F.col(f"le_{name}") >= (p - slack) * F.col("n"))
-                & (F.col(f"lt_{name}") <= (p + slack) * F.col("n"))
-            ).alias("within_bound"),
-        )
-        for name, p in agg.PERCENTILES.items()
-    ]
-    return ranked.select(F.inline(F.array(*checks)))
+    return ranked.select(
+        *[
+            ((F.col(f"le_{name}") >= (p - slack) * F.col("n")) & (F.col(f"lt_{name}") <= (p + slack) * F.col("n"))).alias(name)
+            for name, p in agg.PERCENTILES.items()
+        ]
+    )
+
+
+def percentiles_in_bound(spark, sf_dir):
+    """Whether each approximate percentile's true rank lies within the promised error."""
+    rows = _prepared(spark, sf_dir)
+    checked = _within_bound(rows, agg.percentiles(rows).select(F.struct(*agg.PERCENTILES)).scalar())
+    return checked.select(
+        F.inline(F.array(*[F.struct(F.lit(p).alias("percentile"), F.col(p).alias("within_bound")) for p in agg.PERCENTILES]))
+    )
 
 
 def percentiles_exact(spark, sf_dir):
@@ -576,29 +578,40 @@ def _written(spark: SparkSession, sf_dir: str) -> str:
 
 
 def outputs_roundtrip(spark, sf_dir):
+    """Every column of the five tables as written: numbers as ``figure``, the rest as ``said``."""
     base = _written(spark, sf_dir)
-    shown = {
-        "daily_speed": (F.concat_ws("-", "year", "month", "day"), "daily_avg_speed"),
-        "monthly_speed": (F.concat_ws("-", "year", "month"), "monthly_avg_density"),
-        "hourly_speed": (F.col("hour").cast("string"), "hourly_avg_disturbance"),
-        "storm_events": (iso_text("timestamp"), "speed"),
-        "disturbance_breakdown": (F.col("risk_band"), "avg_density"),
+    keys = {
+        "daily_speed": F.concat_ws("-", "year", "month", "day"),
+        "monthly_speed": F.concat_ws("-", "year", "month"),
+        "hourly_speed": F.col("hour").cast("string"),
+        "storm_events": iso_text("timestamp"),
+        "disturbance_breakdown": F.col("risk_band"),
     }
-    parts = [
-        read_output(spark, base, name).select(
-            F.lit(name).alias("table_name"), key.alias("row_key"), six(value).alias("figure")
-        )
-        for name, (key, value) in shown.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+
+    def cell(field: T.StructField) -> Column:
+        column, none = F.col(field.name), F.lit(None)
+        number = six(column.cast("double")) if isinstance(field.dataType, T.NumericType) else none.cast("double")
+        text = iso_text(field.name) if isinstance(field.dataType, T.TimestampType) else column.cast("string")
+        said = none.cast("string") if isinstance(field.dataType, T.NumericType) else text
+        return F.struct(F.lit(field.name).alias("column_name"), number.alias("figure"), said.alias("said"))
+
+    def cells(name: str) -> DataFrame:
+        table = read_output(spark, base, name)
+        return table.select(F.lit(name).alias("table_name"), keys[name].alias("row_key"), F.inline(F.array(*[cell(f) for f in table.schema])))
+
+    return reduce(DataFrame.unionByName, [cells(name) for name in keys])
 
 
 def documents_roundtrip(spark, sf_dir):
+    """The three documents as written; of the approximate percentiles, whether each is within its bound."""
     layout = OutputLayout(_written(spark, sf_dir))
     summary_row = read_document(spark, layout.document("summary"))
-    pairs = read_document(spark, layout.document("correlations"))
-    found = pairs.select(F.struct(*agg.PAIRS)).scalar()
-    return summary_row.select("*", *[six(found[name]).alias(name) for name in agg.PAIRS])
+    pairs = read_document(spark, layout.document("correlations")).select(F.struct(*agg.PAIRS)).scalar()
+    ranks = read_document(spark, layout.document("percentiles")).select(F.struct(*agg.PERCENTILES)).scalar()
+    checked = _within_bound(_prepared(spark, sf_dir), ranks).select(F.struct(*agg.PERCENTILES)).scalar()
+    return summary_row.select(
+        "*", *[six(pairs[name]).alias(name) for name in agg.PAIRS], *[checked[name].alias(name) for name in agg.PERCENTILES]
+    )
 
 
 def replayed(spark, sf_dir):

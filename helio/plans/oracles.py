@@ -231,6 +231,46 @@ def _payload_rows(*sources: str) -> str:
 
 
 REFUSED_PAYLOAD = "CASE WHEN event_id % 7 = 6 THEN '{broken' ELSE CAST(value AS VARCHAR) END"
+
+
+def _averages(prefix: str) -> dict[str, str]:
+    return {
+        f"{prefix}_avg_speed": six("avg(speed)"),
+        f"{prefix}_avg_density": six("avg(density)"),
+        f"{prefix}_avg_disturbance": six("avg(disturbance_score)"),
+    }
+
+
+def _cells() -> str:
+    """Each column of the five output tables as a row: its number, or its text."""
+    numbers = lambda *names: {n: f'"{n}"::DOUBLE' for n in names}
+    tables = {
+        "daily_speed": ("""concat_ws('-', "year", "month", "day")""", '"year", "month", "day"', {**numbers("year", "month", "day"), **_averages("daily")}, {}),
+        "monthly_speed": ("""concat_ws('-', "year", "month")""", '"year", "month"', {**numbers("year", "month"), **_averages("monthly")}, {}),
+        "hourly_speed": ('CAST("hour" AS VARCHAR)', '"hour"', {**numbers("hour"), **_averages("hourly")}, {}),
+        "storm_events": (
+            "iso", "", {**{n: six(n) for n in ("speed", "density", "bt")}, **numbers("disturbance_score")}, {"timestamp": "iso", "risk_band": "risk_band"}
+        ),
+        "disturbance_breakdown": (
+            "risk_band",
+            "risk_band",
+            {"event_count": "count(*)::DOUBLE", "avg_speed": six("avg(speed)"), "avg_density": six("avg(density)")},
+            {"risk_band": "risk_band"},
+        ),
+    }
+    parts = []
+    for name, (key, group, figures, texts) in tables.items():
+        names = ", ".join(f"'{c}'" for c in [*figures, *texts])
+        figure = ", ".join([*figures.values(), *["NULL::DOUBLE" for _ in texts]])
+        said = ", ".join([*["NULL::VARCHAR" for _ in figures], *texts.values()])
+        rest = f"GROUP BY {group}" if group else "WHERE speed >= 700"
+        parts.append(
+            f"""SELECT '{name}' AS table_name, {key} AS row_key, unnest([{names}]) AS column_name,
+  unnest([{figure}]) AS figure, unnest([{said}]) AS said FROM prepared {rest}"""
+        )
+    return " UNION ALL ".join(parts)
+
+
 RECORD = 'speed, density, temperature, bx, "by", bz, bt'
 STORMS = "SELECT ts AS \"timestamp\", speed, density, bt, disturbance_score, risk_band FROM prepared WHERE speed >= 700"
 
@@ -336,17 +376,8 @@ FROM (SELECT * FROM latest ORDER BY "key" DESC LIMIT 1), summary, ranks""",
     "daily_series": f"""{BATCH} SELECT make_date("year", "month", "day") AS "date",
   {six("avg(speed)")} AS daily_avg_speed FROM prepared GROUP BY 1""",
     "roundtrip_csv": f'{BATCH} SELECT event_id, ts AS "timestamp", {RECORD} FROM prepared',
-    "roundtrip_outputs": f"""{BATCH}
-SELECT 'daily_speed' AS table_name, concat_ws('-', "year", "month", "day") AS row_key,
-  {six("avg(speed)")} AS figure FROM prepared GROUP BY "year", "month", "day"
-UNION ALL SELECT 'monthly_speed', concat_ws('-', "year", "month"), {six("avg(density)")}
-  FROM prepared GROUP BY "year", "month"
-UNION ALL SELECT 'hourly_speed', CAST("hour" AS VARCHAR), {six("avg(disturbance_score)")}
-  FROM prepared GROUP BY "hour"
-UNION ALL SELECT 'storm_events', iso, {six("speed")} FROM prepared WHERE speed >= 700
-UNION ALL SELECT 'disturbance_breakdown', risk_band, {six("avg(density)")}
-  FROM prepared GROUP BY risk_band""",
+    "roundtrip_outputs": f"{BATCH} {_cells()}",
     "roundtrip_documents": f"""{BATCH}, summary AS ({SUMMARY}), pairs AS ({CORRELATIONS})
-SELECT summary.*, pairs.* FROM summary, pairs""",
+SELECT summary.*, pairs.*, {", ".join(f"true AS p{p}" for p in (25, 50, 75, 90, 95, 99))} FROM summary, pairs""",
     "replay_stream": f"WITH {OBS} SELECT event_id, time_tag, {RECORD}, true AS in_batches FROM obs",
 }
