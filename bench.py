@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 from helio.functions import disturbance_score
 from helio.operators import aggregates as agg
 from helio.operators.clean import clean_observations, prepare_observations, with_event_time
+from helio.operators.serving import latest_snapshots
 from helio.operators.trailing import rolling_snapshot
 from helio.operators.windows import SPECS, speed_windows
-from helio.plans.catalogue import QUERIES
+from helio.plans.catalogue import QUERIES, write_snapshot_log
 from helio.plans.obs import iso_text, observations
 from helio.session import configure, shared_path
-from helio.sources import read_observations
+from helio.sources import read_observations, read_snapshot_log
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -124,6 +125,7 @@ def comparisons(spark: SparkSession) -> dict[str, Callable[[], DataFrame | None]
         )
 
     cleaned = clean_observations(stored)
+    log = write_snapshot_log(spark, SF_DIR)
     return {
         "stats_csv": lambda: agg.benchmark_stats(read_observations(spark, csv)),
         "stats_csv_inferred": lambda: agg.benchmark_stats(
@@ -136,6 +138,7 @@ def comparisons(spark: SparkSession) -> dict[str, Callable[[], DataFrame | None]
         "score_python_udf": lambda: cleaned.select(score_row("speed", "density", "bt")),
         "windows_panes": lambda: speed_windows(live),
         "windows_union": window_union,
+        "latest_from_written_log": lambda: latest_snapshots(read_snapshot_log(spark, log)),
         "rolling_5m_panes": lambda: rolling_snapshot(stored),
         "rolling_5m_one_task": lambda: one_window(5),
         "rolling_1h_panes": lambda: rolling_snapshot(stored, minutes=60),

@@ -16,8 +16,12 @@ WHITESPACE = " \t\n\r\f\v"
 def coerce_float(text: Column, default: float = 0.0) -> Column:
     """``text`` as a double; null and anything that is not a number give ``default``."""
     trimmed = F.btrim(text, F.lit(WHITESPACE))
+    # most texts have digits only, which both grammars read alike: no pattern is tried on them
+    plain = F.translate(trimmed, "0123456789.-", "") == ""
     return F.coalesce(
-        F.when(trimmed.rlike(FLOAT_TEXT), F.translate(trimmed, "_", "").try_cast("double")),
+        F.when(plain, trimmed.try_cast("double")).when(
+            trimmed.rlike(FLOAT_TEXT), F.translate(trimmed, "_", "").try_cast("double")
+        ),
         F.lit(float(default)),
     )
 

@@ -94,7 +94,7 @@ def _truthy(text: Column, value: Column) -> Column:
 
     The kind is looked up only for the few texts it matters for.
     """
-    zero = (text == "false") | text.rlike(ZERO_TEXT)
+    zero = (text == "false") | ((text.startswith("0") | text.startswith("-")) & text.rlike(ZERO_TEXT))
     falsy = text.isin("", "[]", "{}") | (zero & (_kind(value) != "STRING"))
     return F.when(~falsy, text)
 
