@@ -50,6 +50,20 @@ def from_image(image: int) -> float:
     return -out if image < 0 else out
 
 
+def _near(prefixes: Iterable[int], shift: int) -> Column:
+    """Speeds whose image may begin with one of the prefixes: ranges that a scan can skip by."""
+    ranges = F.lit(False)
+    for prefix in prefixes:
+        low, high = prefix << shift, ((prefix + 1) << shift) - 1
+        inside = F.lit(True)
+        if low >= -INFINITE:
+            inside = inside & (F.col("speed") >= from_image(low))
+        if high <= INFINITE:
+            inside = inside & (F.col("speed") <= from_image(high))
+        ranges = ranges | inside
+    return ranges
+
+
 def _digit_counts(images: DataFrame, prefixes: Iterable[int] | None, low: int, bits: int) -> DataFrame:
     """For each wanted prefix the counts of the next digit, in order: a row and a task of 2**bits entries at most."""
     prefix = F.lit(0).cast("bigint") if prefixes is None else F.shiftright("image", low + bits)
@@ -80,12 +94,14 @@ def exact_percentiles(df: DataFrame, digit_bits: int = DIGIT_BITS) -> DataFrame:
     A pass brings a row for each percentile to the driver; how often a speed is repeated does not matter.
     """
     spark = df.sparkSession
-    images = df.where(F.col("speed").isNotNull()).select(ordered_image(F.col("speed")).alias("image"))
+    speeds = df.select("speed").where(F.col("speed").isNotNull())
     # name, image known so far, rank among the values that begin with it
     wanted: list[tuple[str, int, int | None]] = [(name, 0, None) for name in PERCENTILES]
     for low in range(IMAGE_BITS - digit_bits, -1, -digit_bits):
         first = low == IMAGE_BITS - digit_bits
-        counts = _digit_counts(images, None if first else sorted({prefix for _, prefix, _ in wanted}), low, digit_bits)
+        prefixes = None if first else sorted({prefix for _, prefix, _ in wanted})
+        near = speeds if first else speeds.where(_near(prefixes, low + digit_bits))
+        counts = _digit_counts(near.select(ordered_image(F.col("speed")).alias("image")), prefixes, low, digit_bits)
         # ceil(p * n), with p as a whole number of hundredths
         hundredths = [(name, prefix, rank, round(PERCENTILES[name] * 100)) for name, prefix, rank in wanted]
         asked = spark.createDataFrame(hundredths, "name string, prefix bigint, rank bigint, p bigint")
