@@ -1,15 +1,19 @@
 """Packing by lexical retrieval.
 
 Full windows of a document's tokens are sequences of their own. What is left over is packed with its
-neighbours: BM25 over the tokens of whole documents, with figures of the whole corpus, finds each
-document's best neighbours among all others. Every pair is scored, block by block, so the work grows
-with the square of the documents. Documents that are linked form groups, first by links that hold both
-ways; a task gets whole groups, and splits only a group beyond its bound. There an inverted index with
-the corpus's weights returns the unused neighbours of a seed, which fill its window greedily; the
-neighbour that no longer fits is cut, and its rest stays to be used.
+neighbours: an inverted index with BM25 weights returns the unused neighbours of a seed, best first, and
+they fill its window greedily; the neighbour that no longer fits is cut, and its rest stays to be used.
+
+The index is sharded by terms. A document's strongest terms, by their weights under the figures of the
+whole corpus, are its path. Documents ordered by path are cut into blocks of bounded size, so that a
+block holds the posting lists of some terms, or the part of a long list that shares further terms. Each
+round leads with another of the strongest terms and gets only what no round before has used: a seed keeps
+its window if neighbours that score at least a share of its own score fill it, else it is handed over to
+the next round. The last round takes any neighbour. So work grows with the documents, and a seed sees the
+documents of its block, not all of them; README states how often it meets its best neighbour.
 
 Defined cases: null is the empty text, which is its end token alone; rows that share a doc_id are
-packed as documents of their own; a task's last sequence may stay short.
+packed as documents of their own; a block's last sequence of the last round may stay short.
 """
 
 from collections.abc import Iterator
@@ -19,22 +23,24 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helio.llm.bpe import byte_letters
 from helio.llm.common import table
-from helio.llm.components import components
 from helio.session import materialize
 
 WINDOW = 2048
 END_ID = 1
-#: Documents that a task packs, about; a larger group is split.
-SHARD_DOCUMENTS = 1024
-#: Neighbours kept of each document; documents of a block of scores, terms of one of its products.
-NEIGHBOURS, BLOCK_DOCUMENTS, BLOCK_TERMS = 8, 512, 4096
-#: A term that a block's pairs share oftener than one in so many is a column of a product.
-DENSE_SHARE = 200
+#: Documents of a block, whose index is in memory at once, and of a task, about.
+BLOCK_DOCUMENTS, TASK_DOCUMENTS = 1024, 4096
+#: Terms whose posting lists are spread out at once.
+BLOCK_TERMS = 4096
+#: Strongest terms of a document that order it.
+PATH_TERMS = 8
+#: Of a seed's own score, what its neighbours must reach, by round; the last round takes all.
+SHARES = (0.5, 0.25, 0.0)
 K1, B = 1.2, 0.75
 #: Fixed value: how byte-level vocabularies of this kind split text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -56,6 +62,8 @@ class Tokens:
         back = {letter: b for b, letter in enumerate(byte_letters())}
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         ranks = {bytes(map(back.__getitem__, t)): i for t, i in vocabulary.items() if t not in self.special}
+        #: How ids are stored between stages.
+        self.kind = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
@@ -70,6 +78,11 @@ def tokens(path: str) -> Tokens:
     return Tokens(path)
 
 
+def read(data: bytes, n: int) -> np.ndarray:
+    """``n`` ids as they are stored."""
+    return np.frombuffer(data, dtype=f"<u{len(data) // n}" if n else "<u4").astype(np.int64)
+
+
 def tokenised(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each document: its number of tokens, its terms, the digests of its full windows, the ids left."""
     width = 4 * WINDOW
@@ -79,14 +92,15 @@ def tokenised(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "t
         for frame in frames:
             data = [(own.encode(t) if isinstance(t, str) else b"") + end for t in frame["text"]]
             counts = [np.unique(np.frombuffer(d, dtype="<u4"), return_counts=True) for d in data]
+            rest = [np.frombuffer(d, dtype="<u4", offset=len(d) // width * width) for d in data]
             yield pd.DataFrame(
                 {
                     "doc_id": frame["doc_id"].astype("Int64"),
                     "doc_tokens": [len(d) // 4 for d in data],
-                    "terms": [t.astype("<u4").tobytes() for t, _ in counts],
+                    "terms": [t.astype(own.kind).tobytes() for t, _ in counts],
                     "tf": [n.astype("<u4").tobytes() for _, n in counts],
                     "full": [[crc32(d[i : i + width]) for i in range(0, len(d) - width + 1, width)] for d in data],
-                    "rest": [d[len(d) // width * width :] for d in data],
+                    "rest": [x.astype(own.kind).tobytes() for x in rest],
                 }
             )
 
@@ -114,263 +128,176 @@ def corpus(terms: np.ndarray, df: np.ndarray, n: int, mean: float) -> Corpus:
     return Corpus(idf, mean)
 
 
+def n_terms() -> Column:
+    return (F.octet_length("tf") / 4).cast("long")
+
+
 def figures(rows: DataFrame) -> Corpus:
     """Counted over all documents; the driver gets a row for each token of the vocabulary at most."""
 
     def held(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            terms, df = np.unique(np.frombuffer(b"".join(frame["terms"]), dtype="<u4"), return_counts=True)
-            yield pd.DataFrame({"term": terms.astype(np.int64), "df": df})
+            terms, df = np.unique(read(b"".join(frame["terms"]), frame["n"].sum()), return_counts=True)
+            yield pd.DataFrame({"term": terms, "df": df})
 
     n, mean = rows.agg(F.count("*"), F.avg("doc_tokens")).first()
-    counted = rows.select("terms").mapInPandas(held, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    counted = rows.select("terms", n_terms().alias("n")).mapInPandas(held, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
     counted = counted.toPandas()
     return corpus(counted["term"].to_numpy(dtype=np.int64), counted["df"].to_numpy(dtype=float), n, mean or 1.0)
 
 
-BLOCK = "uids binary, terms binary, docs binary, weights binary"
+LEFT = "uid long, doc_tokens long, terms binary, tf binary, start long, left long, path binary"
 
 
-class Block:
-    """Documents of a block with their terms, ordered by term, and the weight of each in its document."""
+def routed(rows: DataFrame, known: Corpus) -> DataFrame:
+    """What is left of each document, with its strongest terms, the strongest first."""
 
-    def __init__(self, uids: bytes, terms: bytes, docs: bytes, weights: bytes):
-        self.uids, self.docs = np.frombuffer(uids, dtype="<i8"), np.frombuffer(docs, dtype="<u2").astype(np.int64)
-        self.n, self.weights = len(self.uids), np.frombuffer(weights, dtype="<f4")
-        terms = np.frombuffer(terms, dtype="<u4")
-        self.first = np.flatnonzero(np.append(True, terms[1:] != terms[:-1]))
-        self.names, self.df = terms[self.first], np.diff(np.append(self.first, len(terms)))
-
-    def places(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of the terms with numbers ``at``: where they stand, and which of ``at`` each is."""
-        df = self.df[at]
-        ends = np.cumsum(df)
-        return np.arange(ends[-1]) + np.repeat(self.first[at] - (ends - df), df), np.repeat(np.arange(len(at)), df)
-
-
-def blocked(rows: DataFrame, known: Corpus) -> DataFrame:
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def strongest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for lo in range(0, len(frame), BLOCK_DOCUMENTS):
-                part = frame.iloc[lo : lo + BLOCK_DOCUMENTS]
-                terms, tf = (np.frombuffer(b"".join(part[c]), dtype="<u4").astype(np.int64) for c in ("terms", "tf"))
-                docs = np.repeat(np.arange(len(part)), part["terms"].map(len) // 4)
-                weights = known.weights(terms, tf, part["doc_tokens"].to_numpy()[docs]).astype("<f4")
-                order = np.argsort(terms, kind="stable")
-                some = (part["uid"].to_numpy(dtype="<i8"), terms[order].astype("<u4"), docs[order].astype("<u2"), weights[order])
-                yield pd.DataFrame({c.split()[0]: [x.tobytes()] for c, x in zip(BLOCK.split(", "), some, strict=True)})
+            paths = []
+            for size, terms, tf in zip(frame["doc_tokens"], frame["terms"], frame["tf"], strict=True):
+                tf = np.frombuffer(tf, dtype="<u4")
+                terms = read(terms, len(tf))
+                weights = known.weights(terms, tf, size)
+                if len(terms) > PATH_TERMS:
+                    # of equal weights at the edge all are ordered, so that copies have one path
+                    some = weights >= np.partition(weights, -PATH_TERMS)[-PATH_TERMS]
+                    terms, weights = terms[some], weights[some]
+                paths.append(terms[np.lexsort((terms, -weights))][:PATH_TERMS].astype(">u4").tobytes())
+            yield frame.assign(path=paths)
+
+    width = F.pmod("doc_tokens", F.lit(WINDOW))
+    some = rows.where(width > 0).select("uid", "doc_tokens", "terms", "tf", F.lit(0).cast("long").alias("start"), width.alias("left"))
+    return some.mapInPandas(strongest, LEFT)
 
-    return rows.select("uid", "doc_tokens", "terms", "tf").mapInPandas(cut, BLOCK)
 
-
-def block_scores(left: Block, right: Block) -> np.ndarray:
-    """BM25 of each document of ``right`` for each of ``left``.
-
-    Terms that many pairs share are products of dense matrices of bounded width, others are added pair by pair.
+class Index:
+    """The inverted index of a block: for each term the documents that hold it, with its weight there."""
+
+    def __init__(self, terms: np.ndarray, tf: np.ndarray, owner: np.ndarray, sizes: np.ndarray, known: Corpus):
+        self.n = len(sizes)
+        weights = known.weights(terms, tf, sizes[owner])
+        #: The score of each document for its own terms.
+        self.own = np.bincount(owner, weights=weights, minlength=self.n)
+        order = np.argsort(terms, kind="stable")
+        _, number, df = np.unique(terms[order], return_inverse=True, return_counts=True)
+        useful = df[number] > 1
+        self.docs, self.weights, number = owner[order][useful], weights[order][useful], number[useful]
+        self.lists = np.flatnonzero(np.append(True, number[1:] != number[:-1])) if len(number) else np.zeros(0, int)
+
+    def scores(self) -> np.ndarray:
+        """Of each document (columns) for each seed (rows): its postings under the seed's terms, added up."""
+        out = np.zeros((self.n, self.n), dtype=np.float32)
+        for lo in range(0, len(self.lists), BLOCK_TERMS):
+            ends = np.append(self.lists[lo : lo + BLOCK_TERMS + 1], len(self.docs))[: BLOCK_TERMS + 1]
+            postings = np.zeros((len(ends) - 1, self.n), dtype=np.float32)
+            term = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+            postings[term, self.docs[ends[0] : ends[-1]]] = self.weights[ends[0] : ends[-1]]
+            out += (postings > 0).astype(np.float32).T @ postings
+        return out
+
+
+Window = list[tuple[int, int, int]]
+
+
+def fill(left: np.ndarray, index: Index, share: float) -> tuple[list[Window], np.ndarray, np.ndarray]:
+    """Windows of (document, start, length) out of ``left`` tokens; where each document goes on, what is left of it.
+
+    Without a share every token gets into a window.
     """
-    out = np.zeros((left.n, right.n), dtype=np.float32)
-    _, a, b = np.intersect1d(left.names, right.names, assume_unique=True, return_indices=True)
-    many = left.df[a] * right.df[b] > left.n * right.n // DENSE_SHARE
-    for lo in range(0, int(many.sum()), BLOCK_TERMS):
-        x, y = (at[many][lo : lo + BLOCK_TERMS] for at in (a, b))
-        one, two = (np.zeros((len(x), side.n), dtype=np.float32) for side in (left, right))
-        places, which = left.places(x)
-        one[which, left.docs[places]] = 1
-        places, which = right.places(y)
-        two[which, right.docs[places]] = right.weights[places]
-        out += one.T @ two
-    a, b = a[~many], b[~many]
-    if len(a):
-        places, which = left.places(a)
-        df = right.df[b][which]
-        ends = np.cumsum(df)
-        other = np.arange(ends[-1]) + np.repeat(right.first[b][which] - (ends - df), df)
-        cells = np.repeat(left.docs[places] * right.n, df) + right.docs[other]
-        out += np.bincount(cells, weights=right.weights[other], minlength=out.size).reshape(out.shape)
-    return out
-
-
-def neighbours(rows: DataFrame, known: Corpus) -> DataFrame:
-    """``u, v, score``: for each document the best of all others, of equal ones the first after it."""
-    spark = rows.sparkSession
-    packed = materialize(blocked(rows, known), "packing-blocks")
-    names = packed.columns
-
-    def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # rows with the same left block come one after another; only its best so far are held
-        last, left, v, s = None, None, None, None
-
-        def found() -> pd.DataFrame:
-            some = s > 0
-            return pd.DataFrame({"u": np.repeat(left.uids, s.shape[1])[some.ravel()], "v": v[some], "score": s[some]})
-
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                if row[0] != last:
-                    if last is not None:
-                        yield found()
-                    last, left = row[0], Block(*row[:4])
-                    v, s = np.zeros((left.n, 0), dtype=np.int64), np.zeros((left.n, 0), dtype=np.float32)
-                right = Block(*row[4:])
-                scores = block_scores(left, right)
-                scores[left.uids[:, None] == right.uids] = -1
-                s = np.hstack([s, scores])
-                v = np.hstack([v, np.broadcast_to(right.uids, scores.shape)])
-                # copies link to the copies after them in a circle, not all to the same few
-                after = (v - left.uids[:, None]).astype(np.uint64)
-                order = np.lexsort((after, -s), axis=1)[:, :NEIGHBOURS] if s.shape[1] <= 64 else _top(s, after)
-                s, v = np.take_along_axis(s, order, 1), np.take_along_axis(v, order, 1)
-        if last is not None:
-            yield found()
-
-    # the fewer partitions on the right, the fewer rows for each document are left to choose from
-    other = packed.select(*(F.col(c).alias(f"other_{c}") for c in names)).coalesce(16)
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "2")  # rows here are blocks
-    try:
-        some = materialize(packed.crossJoin(other).mapInPandas(best, "u long, v long, score double"), "packing-some")
-    finally:
-        spark.conf.set(setting, before)
-    after = F.when(F.col("v") > F.col("u"), 0).otherwise(1)
-    top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), after.alias("a"), "v"))), 1, NEIGHBOURS)
-    return some.groupBy("u").agg(top.alias("t")).select("u", F.explode("t").alias("t")).select(
-        "u", "t.v", (-F.col("t.s")).alias("score")
-    )
-
-
-def _top(s: np.ndarray, after: np.ndarray) -> np.ndarray:
-    """Columns of each row's highest values, equal ones by ``after``."""
-    bound = -np.partition(-s, NEIGHBOURS - 1, axis=1)[:, NEIGHBOURS - 1]
-    out = np.empty((len(s), NEIGHBOURS), dtype=np.int64)
-    for i, b in enumerate(bound):
-        at = np.flatnonzero(s[i] >= b)
-        out[i] = at[np.lexsort((after[i, at], -s[i, at]))[:NEIGHBOURS]]
-    return out
+    left, start = left.copy(), np.zeros(len(left), dtype=np.int64)
+    scores, windows = index.scores(), []
+    for seed in np.argsort(-left, kind="stable").tolist():
+        if not left[seed]:
+            continue
+        length, row = int(left[seed]), scores[seed]
+        unused = left > 0
+        unused[seed] = False
+        if share:
+            unused &= row >= share * index.own[seed]
+        found = np.flatnonzero(unused)
+        if share and left[found].sum() < WINDOW - length:
+            continue
+        window, space = [(seed, int(start[seed]), length)], WINDOW - length
+        left[seed] = 0
+        found = found[np.argsort(-row[found], kind="stable")]
+        for d in found[: int(np.searchsorted(np.cumsum(left[found]), space)) + 1].tolist() if space else []:
+            take = int(min(space, left[d]))
+            window.append((d, int(start[d]), take))
+            start[d] += take
+            left[d] -= take
+            space -= take
+        windows.append(window)
+    return windows, start, left
+
+
+PLACED = f"{LEFT}, length long, sequence_id long, offset long"
+
+
+def in_blocks(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+    held: list[pd.DataFrame] = []
+    for frame in frames:
+        held.append(frame)
+        if sum(map(len, held)) >= size:
+            rows = pd.concat(held, ignore_index=True)
+            whole = len(rows) // size * size
+            yield from (rows.iloc[lo : lo + size] for lo in range(0, whole, size))
+            held = [rows.iloc[whole:]]
+    if sum(map(len, held)):
+        yield pd.concat(held, ignore_index=True)
+
+
+def packed_round(rows: DataFrame, known: Corpus, number: int, n: int) -> DataFrame:
+    """Pieces placed in this round, and rows with ``left`` tokens to hand over to the next one."""
+    share = SHARES[number]
+
+    def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sequence = (number + 1 << 60) + (TaskContext.get().partitionId() << 36)
+        for block in in_blocks(frames, BLOCK_DOCUMENTS):
+            n_terms = block["tf"].map(len).to_numpy() // 4
+            tf = np.frombuffer(b"".join(block["tf"]), dtype="<u4")
+            terms, owner = read(b"".join(block["terms"]), len(tf)), np.repeat(np.arange(len(block)), n_terms)
+            index = Index(terms, tf, owner, block["doc_tokens"].to_numpy(), known)
+            windows, start, left = fill(block["left"].to_numpy(), index, share)
+            sizes = [len(w) for w in windows]
+            pieces = np.array([p for w in windows for p in w], dtype=np.int64).reshape(-1, 3)
+            ends = np.cumsum(pieces[:, 2])
+            first = np.cumsum([0, *sizes])[:-1]
+            before = ends - pieces[:, 2]
+            base = block["start"].to_numpy()
+            yield pd.DataFrame(
+                {
+                    "uid": block["uid"].to_numpy()[pieces[:, 0]],
+                    "start": base[pieces[:, 0]] + pieces[:, 1],
+                    "length": pieces[:, 2],
+                    "sequence_id": sequence + np.repeat(np.arange(len(windows)), sizes),
+                    "offset": before - np.repeat(before[first], sizes),
+                }
+            ).astype("Int64").reindex(columns=names)
+            sequence += len(windows)
+            rest = block.assign(start=base + start, left=left)[left > 0]
+            if len(rest):
+                yield rest.reindex(columns=names)
 
+    names = [c.split()[0] for c in PLACED.split(", ")]
+    lead = 4 * number
+    path = F.concat(F.substring("path", lead + 1, 4), F.substring("path", 1, lead), F.substring("path", lead + 5, 4 * PATH_TERMS))
+    ordered = rows.withColumn("by", path).repartitionByRange(max(1, -(-n // TASK_DOCUMENTS)), "by", "uid")
+    return ordered.sortWithinPartitions("by", "uid").drop("by").mapInPandas(packed, PLACED)
 
-def _merged(groups: DataFrame, links: DataFrame, level: int) -> DataFrame:
-    """``groups`` (uid, g0, ...) with one more column: groups joined with those their best links lead to."""
-    own, new = f"g{level - 1}", f"g{level}"
-    ends = links.join(groups.select(F.col("uid").alias("u"), F.col(own).alias("a")), "u").join(
-        groups.select(F.col("uid").alias("v"), F.col(own).alias("b")), "v"
-    )
-    best = (
-        ends.where("a <> b").groupBy("a").agg(F.max_by("b", F.struct("score", F.least("a", "b"), F.greatest("a", "b"))).alias("b"))
-    )
-    joined = components(best.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    joined = joined.select(F.col("node").alias(own), F.col("component").alias(new))
-    out = groups.join(joined, own, "left").withColumn(new, F.coalesce(new, own))
-    return materialize(out.select(*groups.columns, new), "packing-groups")
-
-
-def assigned(rows: DataFrame, links: DataFrame, n: int) -> DataFrame:
-    """``uid, shard``: linked documents together, in the largest of their groups that fits a task."""
-    back = links.select(F.col("v").alias("u"), F.col("u").alias("v"), F.col("score").alias("back"))
-    mutual = links.join(back, ["u", "v"]).select("u", "v", (F.col("score") + F.col("back")).alias("score"))
-    mutual = materialize(mutual, "packing-mutual")
-    groups = rows.select("uid", F.col("uid").alias("g0"))
-    for level, some in enumerate((mutual, mutual, links), 1):
-        groups = _merged(groups, some, level)
-    for level in (1, 2, 3):
-        sizes = groups.groupBy(f"g{level}").agg(F.count("*").alias(f"n{level}"))
-        groups = groups.join(sizes, f"g{level}")
-    key = F.struct(F.lit(0), F.col("g1"), F.pmod(F.xxhash64("uid"), F.ceil(F.col("n1") / SHARD_DOCUMENTS)))
-    part = F.xxhash64(key)
-    for level in (1, 2, 3):
-        part = F.when(F.col(f"n{level}") <= SHARD_DOCUMENTS, F.xxhash64(F.lit(level), f"g{level}")).otherwise(part)
-    return groups.select("uid", F.pmod(part, F.lit(max(1, -(-n // SHARD_DOCUMENTS)))).alias("shard"))
 
+def digested(pieces: DataFrame) -> DataFrame:
+    def digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out, base = [], frame["doc_tokens"] // WINDOW * WINDOW
+            for rest, n, start, length in zip(
+                frame["rest"], frame["doc_tokens"] % WINDOW, frame["start"], frame["length"], strict=True
+            ):
+                out.append(crc32(read(rest, n)[start : start + length].astype("<u4").tobytes()))
+            yield frame.assign(start=frame["start"] + base, ids_crc32=out, doc_id=frame["doc_id"].astype("Int64"))[names]
 
-class Index:
-    """An inverted index over the terms of the documents of one task, with the corpus's BM25 weights."""
-
-    def __init__(self, lists: list[tuple[np.ndarray, np.ndarray]], sizes: np.ndarray, known: Corpus):
-        self.n = n = len(lists)
-        owner = np.repeat(np.arange(n), [len(t) for t, _ in lists])
-        term = np.concatenate([t for t, _ in lists]).astype(np.int64)
-        order = np.argsort(term, kind="stable")
-        term, self.docs = term[order], owner[order]
-        tf = np.concatenate([x for _, x in lists])[order].astype(float)
-        names, first, df = np.unique(term, return_index=True, return_counts=True)
-        self.weights = known.weights(term, tf, sizes[self.docs])
-        self.first, self.df = first, df
-        useful = np.repeat(df > 1, df)
-        number = np.repeat(np.arange(len(names)), df)[useful]
-        order = np.argsort(self.docs[useful], kind="stable")
-        self.terms = number[order]
-        self.bounds = np.searchsorted(self.docs[useful][order], np.arange(n + 1))
-
-    def scores(self, seed: int) -> np.ndarray:
-        """Of every document for the terms of ``seed``."""
-        terms = self.terms[self.bounds[seed] : self.bounds[seed + 1]]
-        df = self.df[terms]
-        if not len(df):
-            return np.zeros(self.n)
-        ends = np.cumsum(df)
-        places = np.arange(ends[-1]) + np.repeat(self.first[terms] - (ends - df), df)
-        return np.bincount(self.docs[places], weights=self.weights[places], minlength=self.n)
-
-
-def index_of(lists: list[np.ndarray]) -> Index:
-    """An index of token lists that are a corpus of their own."""
-    counts = [np.unique(x, return_counts=True) for x in lists]
-    sizes = np.array([len(x) for x in lists], dtype=np.int64)
-    terms, df = np.unique(np.concatenate([t for t, _ in counts]), return_counts=True)
-    return Index(counts, sizes, corpus(terms, df, len(lists), float(sizes.mean())))
-
-
-def fill(lists: list[np.ndarray], index: Index | None = None) -> list[list[tuple[int, int, int]]]:
-    """Windows of (document, start, length) that hold every token of ``lists`` once."""
-    if not lists:
-        return []
-    index = index or index_of(lists)
-    left = np.array([len(x) for x in lists], dtype=np.int64)
-    start = np.zeros(len(lists), dtype=np.int64)
-    windows = []
-    for _ in range(int(left.sum())):
-        seed = int(left.argmax())
-        if not left[seed]:
-            break
-        window, space = [(seed, int(start[seed]), int(left[seed]))], WINDOW - int(left[seed])
-        left[seed] = 0
-        if space:
-            ranked = np.where(left > 0, index.scores(seed), -1.0)
-            for d in np.argsort(-ranked, kind="stable"):
-                if not space or not left[d]:
-                    break
-                take = int(min(space, left[d]))
-                window.append((int(d), int(start[d]), take))
-                start[d] += take
-                left[d] -= take
-                space -= take
-        windows.append(window)
-    return windows
-
-
-def _pack_shard(key: tuple, rows: pd.DataFrame, known: Corpus) -> pd.DataFrame:
-    rows = rows.sort_values(["doc_id", "doc_tokens", "uid"], kind="stable", na_position="last")
-    ids, sizes = rows["doc_id"].tolist(), rows["doc_tokens"].tolist()
-    number = int(key[0]) << 36
-    out = []
-    for doc, size, full in zip(ids, sizes, rows["full"], strict=True):
-        for k, digest in enumerate(full):
-            out.append((doc, k * WINDOW, WINDOW, int(digest), size, number, 0))
-            number += 1
-    some = [i for i, rest in enumerate(rows["rest"]) if len(rest)]
-    data = [rows["rest"].iloc[i] for i in some]
-    held = [tuple(np.frombuffer(rows[c].iloc[i], dtype="<u4") for c in ("terms", "tf")) for i in some]
-    index = Index(held, np.array([sizes[i] for i in some]), known) if some else None
-    for window in fill([np.frombuffer(d, dtype="<u4") for d in data], index):
-        offset = 0
-        for at, start, length in window:
-            i = some[at]
-            piece = data[at][4 * start : 4 * (start + length)]
-            out.append((ids[i], sizes[i] // WINDOW * WINDOW + start, length, crc32(piece), sizes[i], number, offset))
-            offset += length
-        number += 1
     names = [c.split()[0] for c in PIECES.split(", ")]
-    return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+    return pieces.mapInPandas(digests, PIECES)
 
 
 def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -378,13 +305,24 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text")
     rows = tokenised(docs, path, doc_id, text).withColumn("uid", F.monotonically_increasing_id())
     rows = materialize(rows, "packing-tokens")
     known = figures(rows)
-    links = materialize(neighbours(rows, known), "packing-links")
-    shards = assigned(rows, links, rows.count())
-
-    def packed(key: tuple, some: pd.DataFrame) -> pd.DataFrame:
-        return _pack_shard(key, some, known)
-
-    return rows.join(shards, "uid").groupBy("shard").applyInPandas(packed, PIECES)
+    left, n, placed = routed(rows, known), rows.count(), None
+    for number in range(len(SHARES)):
+        done = materialize(packed_round(left, known, number, n), f"packing-round-{number}")
+        some = done.where("sequence_id IS NOT NULL").select("uid", "start", "length", "sequence_id", "offset")
+        placed = some if placed is None else placed.unionAll(some)
+        left = done.where("sequence_id IS NULL").drop("length", "sequence_id", "offset")
+        n = left.count()
+    full = rows.select("doc_id", "doc_tokens", F.posexplode("full").alias("k", "ids_crc32"))
+    full = full.select(
+        "doc_id",
+        (F.col("k").cast("long") * WINDOW).alias("start"),
+        F.lit(WINDOW).cast("long").alias("length"),
+        "ids_crc32",
+        "doc_tokens",
+        F.monotonically_increasing_id().alias("sequence_id"),
+        F.lit(0).cast("long").alias("offset"),
+    )
+    return full.unionAll(digested(placed.join(rows.select("uid", "doc_id", "doc_tokens", "rest"), "uid")))
 
 
 def vocabulary() -> str:
