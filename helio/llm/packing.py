@@ -16,6 +16,7 @@ Defined cases: null is the empty text, which is its end token alone; rows that s
 packed as documents of their own; a block's last sequence of the last round may stay short.
 """
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -40,10 +41,18 @@ BLOCK_TERMS = 4096
 #: Strongest terms of a document that order it.
 PATH_TERMS = 8
 #: Of a seed's own score, what its neighbours must reach, by round; the last round takes all.
-SHARES = (0.5, 0.25, 0.0)
+SHARES = (0.9, 0.75, 0.5, 0.0)
 K1, B = 1.2, 0.75
 #: Fixed value: how byte-level vocabularies of this kind split text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Letters of these ranges, ASCII's digits and marks are split alike by the standard library, which is faster.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+PLAIN = re.compile(rf"[\t-\r -~{LETTERS}]*")
+PLAIN_PATTERN = re.compile(
+    rf" ?[{LETTERS}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+"
+)
+#: Words kept with their ids, and the longest kept; others are encoded anew.
+CACHED_WORDS, CACHED_LENGTH = 1 << 17, 32
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -65,13 +74,29 @@ class Tokens:
         #: How ids are stored between stages.
         self.kind = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.words: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers; a text that holds a special token goes to the library."""
         if any(s in text for s in self.special):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if not PLAIN.fullmatch(text):
+            return self._encoded(text)
+        words = PLAIN_PATTERN.findall(text)
+        found = list(map(self.words.get, words))
+        if None in found:
+            found = [self._word(w) if ids is None else ids for w, ids in zip(words, found, strict=True)]
+        return b"".join(found)
+
+    def _encoded(self, text: str) -> bytes:
         return np.asarray(self.fast.encode_to_numpy(text), dtype="<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word) or self._encoded(word)
+        if len(word) <= CACHED_LENGTH and len(self.words) < CACHED_WORDS:
+            self.words[word] = ids
+        return ids
+
 
 @lru_cache(maxsize=2)
 def tokens(path: str) -> Tokens:
@@ -179,11 +204,14 @@ class Index:
         weights = known.weights(terms, tf, sizes[owner])
         #: The score of each document for its own terms.
         self.own = np.bincount(owner, weights=weights, minlength=self.n)
-        order = np.argsort(terms, kind="stable")
-        _, number, df = np.unique(terms[order], return_inverse=True, return_counts=True)
-        useful = df[number] > 1
-        self.docs, self.weights, number = owner[order][useful], weights[order][useful], number[useful]
-        self.lists = np.flatnonzero(np.append(True, number[1:] != number[:-1])) if len(number) else np.zeros(0, int)
+        short = len(terms) and terms.max() < 1 << 16  # sorted by digits then
+        order = np.argsort(terms.astype(np.uint16) if short else terms, kind="stable")
+        ends = np.flatnonzero(np.append(np.diff(terms[order]) != 0, len(terms) > 0)) + 1
+        df = np.diff(ends, prepend=0)
+        order = order[np.repeat(df > 1, df)]
+        self.docs, self.weights, df = owner[order], weights[order], df[df > 1]
+        #: Where the list of each term that two documents hold begins.
+        self.lists = np.cumsum(df) - df
 
     def scores(self) -> np.ndarray:
         """Of each document (columns) for each seed (rows): its postings under the seed's terms, added up."""

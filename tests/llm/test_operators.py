@@ -239,48 +239,83 @@ def test_packing(docs, none):
     assert packing.pack(none, path).count() == 0 and packing.pack(docs, path).where("doc_id = 7").count() >= 2
 
 
-def test_neighbours_share_words():
+def index_of(lists):
+    """An index of token lists that are a corpus of their own, and the counts of each."""
+    counts = [np.unique(x, return_counts=True) for x in lists]
+    terms, tf = (np.concatenate([c[k] for c in counts]).astype(np.int64) for k in (0, 1))
+    names, df = np.unique(terms, return_counts=True)
+    sizes = np.array([len(x) for x in lists])
+    known = packing.corpus(names, df, len(lists), float(sizes.mean()))
+    return packing.Index(terms, tf, np.repeat(np.arange(len(lists)), [len(c[0]) for c in counts]), sizes, known)
+
+
+def bm25(ids):
+    """Plain Python: the score of ``v`` for seed ``u`` under figures of all of ``ids``."""
+    df, mean = Counter(t for c in ids.values() for t in c), sum(sum(c.values()) for c in ids.values()) / len(ids)
+
+    def score(u, v):
+        norm = 1.2 * (0.25 + 0.75 * sum(ids[v].values()) / mean)
+        return sum(
+            np.log1p((len(ids) - df[t] + 0.5) / (df[t] + 0.5)) * ids[v][t] * 2.2 / (ids[v][t] + norm)
+            for t in ids[u].keys() & ids[v].keys()
+        )
+
+    return score
+
+
+@pytest.mark.parametrize("terms", [4096, 37])
+def test_index_equals_plain_bm25(monkeypatch, terms):
+    monkeypatch.setattr(packing, "BLOCK_TERMS", terms)
+    pick = np.random.default_rng(2)
+    lists = [pick.integers(0, 300, size=n) for n in pick.integers(1, 400, size=40)] + [np.array([7]), np.array([7])]
+    index, score = index_of(lists), bm25(dict(enumerate(Counter(x.tolist()) for x in lists)))
+    expected = np.array([[score(u, v) for v in range(42)] for u in range(42)])
+    assert index.own == pytest.approx(np.diag(expected))
+    shared = index.scores()
+    off = ~np.eye(42, dtype=bool)  # a seed's terms that no other document holds have no list
+    assert shared[off] == pytest.approx(expected[off], rel=1e-4)
+
+
+def test_seed_gets_its_best_unused_neighbours():
     pick = np.random.default_rng(1)
-    topics = [pick.integers(100 * k, 100 * k + 90, size=700) for k in range(4) for _ in range(3)]
-    for window in packing.fill(topics)[:4]:
-        assert len({topics[d][0] // 100 for d, _, _ in window[:2]}) == 1
+    topics = [pick.integers(100 * k, 100 * k + 90, size=n) for k in range(6) for n in (900, 700, 600, 300, 200)]
+    score = bm25(dict(enumerate(Counter(x.tolist()) for x in topics)))
+    left, index = np.array([len(x) for x in topics]), index_of(topics)
+    windows, _, after = packing.fill(left, index, 0.0)
+    assert not after.any()
+    for window in windows:
+        unused = [d for d in range(30) if left[d] and d != window[0][0]]
+        assert left[window[0][0]] == window[0][2]
+        ranked = sorted(unused, key=lambda d: -score(window[0][0], d))[: len(window) - 1]
+        assert [score(window[0][0], d) for d in ranked] == pytest.approx([score(window[0][0], d) for d, _, _ in window[1:]])
+        for d, _, length in window:
+            left[d] -= length
+    # with a share, only windows that related documents fill are kept, and the rest is handed over whole
+    left = np.array([len(x) for x in topics])
+    windows, start, after = packing.fill(left, index, 0.3)
+    assert windows and all(len({topics[d][0] // 100 for d, _, _ in w}) == 1 and sum(x[2] for x in w) == 2048 for w in windows)
+    assert (start + after <= left).all() and after.sum() == left.sum() - 2048 * len(windows)
 
 
 def test_neighbours_meet_across_the_corpus(spark, monkeypatch):
-    monkeypatch.setattr(packing, "SHARD_DOCUMENTS", 8)
-    monkeypatch.setattr(packing, "BLOCK_DOCUMENTS", 16)
-    # 30 topics of 4 documents, dealt over 15 tasks; some documents have a full window first
+    monkeypatch.setattr(packing, "TASK_DOCUMENTS", 16)
+    monkeypatch.setattr(packing, "BLOCK_DOCUMENTS", 8)
+    # 30 topics of 4 documents, dealt over 15 blocks; some documents have a full window first
     rows, topic = [], {}
     for i in range(120):
         pick = random.Random(i % 30)
         own = [f"{pick.choice(WORDS)}{pick.choice(WORDS)}{pick.choice(WORDS)}" for _ in range(40)]
-        words = [*random.Random(i).choices(own, k=60), *prose(60, i).split()]
+        words = [*random.Random(i).choices(own, k=150), *prose(60, i).split()]
         random.Random(i + 1).shuffle(words)
         rows.append((i, " ".join(words * (9 if i % 40 == 0 else 1)), "en", "s", 0))
         topic[i] = i % 30
     docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
     path = packing.vocabulary()
-    known = packing.materialize(packing.tokenised(docs, path).withColumn("uid", F.col("doc_id")), "test")
-    stats, links = packing.figures(known), packing.neighbours(known, packing.figures(known)).collect()
-    # brute force: BM25 over all documents, in plain Python
+    known = packing.figures(packing.tokenised(docs, path))
     ids = {i: Counter([*packing.tokens(path).library.encode(t, add_special_tokens=False).ids, 1]) for i, t, *_ in rows}
-    df, mean = Counter(t for c in ids.values() for t in c), sum(sum(c.values()) for c in ids.values()) / len(ids)
-    assert stats.mean == pytest.approx(mean)
-    best = defaultdict(list)
-    for r in links:
-        best[r["u"]].append((r["score"], r["v"]))
-    for u in ids:
-        score = {
-            v: sum(
-                np.log1p((120 - df[t] + 0.5) / (df[t] + 0.5)) * ids[v][t] * 2.2
-                / (ids[v][t] + 1.2 * (0.25 + 0.75 * sum(ids[v].values()) / mean))
-                for t in ids[u].keys() & ids[v].keys()
-            )
-            for v in ids if v != u
-        }
-        expected = sorted(score.values(), reverse=True)[: packing.NEIGHBOURS]
-        assert [s for s, _ in sorted(best[u], reverse=True)] == pytest.approx(expected, rel=1e-4)
-        assert all(s == pytest.approx(score[v], rel=1e-4) for s, v in best[u])
+    assert known.mean == pytest.approx(sum(sum(c.values()) for c in ids.values()) / len(ids))
+    df = Counter(t for c in ids.values() for t in c)
+    assert [known.idf[t] for t in df] == pytest.approx([np.log1p((120 - n + 0.5) / (n + 0.5)) for n in df.values()])
     shared = defaultdict(set)
     for r in packing.pack(docs, path).where("length < 2048").collect():
         shared[r["sequence_id"]].add(r["doc_id"])
@@ -288,6 +323,15 @@ def test_neighbours_meet_across_the_corpus(spark, monkeypatch):
     assert len(met) >= 0.6 * 30 * 6, len(met)
 
 
+def test_words_are_split_as_the_library_does():
+    own, library = packing.tokens(packing.vocabulary()), Tokenizer.from_file(packing.vocabulary())
+    pick = random.Random(5)
+    letters = "aZéßÿŒɏ×÷²½ªº '\n\t\x0b\x1c\x1f\x85\xa0  09,._-!sdltrevm’中😀\u0301\u01c5ʰ"
+    for n in range(3000):
+        text = "".join(pick.choices(letters, k=n % 40))
+        assert np.frombuffer(own.encode(text), dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_special_token_in_a_text():
     own, library = packing.tokens(packing.vocabulary()), Tokenizer.from_file(packing.vocabulary())
     for text in ("a<|endoftext|>b", "", "  two  spaces \n\n x ", "naïve 中文 😀", "it's  1234"):
