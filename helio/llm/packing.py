@@ -4,10 +4,11 @@ Full windows of a document's tokens are sequences of their own. What is left ove
 neighbours: an inverted index with BM25 weights returns the unused neighbours of a seed, best first, and
 they fill its window greedily; the neighbour that no longer fits is cut, and its rest stays to be used.
 
-The index is sharded by terms. A document's strongest terms, by their weights under the figures of the
-whole corpus, are its path. Documents ordered by path are cut into blocks of bounded size, so that a
-block holds the posting lists of some terms, or the part of a long list that shares further terms. Each
-round leads with another of the strongest terms and gets only what no round before has used: a seed keeps
+The index is sharded by topics. A bounded sample of documents, at most ``LEADERS``, is indexed first, with
+BM25 figures of the whole corpus; every document asks it for the leaders it scores highest with, and they
+are its path. Documents ordered by path are cut into blocks of bounded size, which share their best
+leader, in large corpora several of them, and each block has an index of its own. Each round leads with
+another of a document's best leaders and gets only what no round before has used: a seed keeps
 its window if neighbours that score at least a share of its own score fill it, else it is handed over to
 the next round. The last round takes any neighbour. So work grows with the documents, and a seed sees the
 documents of its block, not all of them; README states how often it meets its best neighbour.
@@ -16,7 +17,6 @@ Defined cases: null is the empty text, which is its end token alone; rows that s
 packed as documents of their own; a block's last sequence of the last round may stay short.
 """
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -38,22 +38,13 @@ END_ID = 1
 BLOCK_DOCUMENTS, TASK_DOCUMENTS = 1024, 4096
 #: Terms whose posting lists are spread out at once.
 BLOCK_TERMS = 4096
-#: Strongest terms of a document that order it.
-PATH_TERMS = 8
+#: Documents that stand for topics: at most, for each block of documents, and in a document's path.
+LEADERS, BLOCK_LEADERS, PATH_LEADERS = 256, 8, 8
 #: Of a seed's own score, what its neighbours must reach, by round; the last round takes all.
-SHARES = (0.9, 0.75, 0.5, 0.0)
+SHARES = (0.5, 0.0)
 K1, B = 1.2, 0.75
 #: Fixed value: how byte-level vocabularies of this kind split text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Letters of these ranges, ASCII's digits and marks are split alike by the standard library, which is faster.
-LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-PLAIN = re.compile(rf"[\t-\r -~{LETTERS}]*")
-PLAIN_PATTERN = re.compile(
-    rf" ?[{LETTERS}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+"
-)
-#: Words kept with their ids, and the longest kept; others are encoded anew.
-CACHED_WORDS, CACHED_LENGTH = 1 << 17, 32
-
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
@@ -74,29 +65,13 @@ class Tokens:
         #: How ids are stored between stages.
         self.kind = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.words: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers; a text that holds a special token goes to the library."""
         if any(s in text for s in self.special):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if not PLAIN.fullmatch(text):
-            return self._encoded(text)
-        words = PLAIN_PATTERN.findall(text)
-        found = list(map(self.words.get, words))
-        if None in found:
-            found = [self._word(w) if ids is None else ids for w, ids in zip(words, found, strict=True)]
-        return b"".join(found)
-
-    def _encoded(self, text: str) -> bytes:
         return np.asarray(self.fast.encode_to_numpy(text), dtype="<u4").tobytes()
 
-    def _word(self, word: str) -> bytes:
-        ids = self.words.get(word) or self._encoded(word)
-        if len(word) <= CACHED_LENGTH and len(self.words) < CACHED_WORDS:
-            self.words[word] = ids
-        return ids
-
 
 @lru_cache(maxsize=2)
 def tokens(path: str) -> Tokens:
@@ -174,26 +149,45 @@ def figures(rows: DataFrame) -> Corpus:
 LEFT = "uid long, doc_tokens long, terms binary, tf binary, start long, left long, path binary"
 
 
-def routed(rows: DataFrame, known: Corpus) -> DataFrame:
-    """What is left of each document, with its strongest terms, the strongest first."""
+def leaders(rows: DataFrame, known: Corpus, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of a bounded sample of documents, and the weight of each (rows) in each of them (columns)."""
+    number = max(1, min(LEADERS, n * BLOCK_LEADERS // BLOCK_DOCUMENTS))
+    some = rows.select("doc_tokens", "terms", "tf").orderBy(F.xxhash64("uid"), "uid").limit(number).toPandas()
+    some = some.drop_duplicates(["terms", "tf"])
+    tf = np.frombuffer(b"".join(some["tf"]), dtype="<u4")
+    owner = np.repeat(np.arange(len(some)), some["tf"].map(len).to_numpy(dtype=np.int64) // 4)
+    terms = read(b"".join(some["terms"]), len(tf))
+    names, at = np.unique(terms, return_inverse=True)
+    weights = np.zeros((len(names), len(some)), dtype=np.float32)
+    weights[at, owner] = known.weights(terms, tf, some["doc_tokens"].to_numpy(dtype=np.int64)[owner])
+    return names, weights
+
+
+def routed(rows: DataFrame, known: Corpus, n: int) -> DataFrame:
+    """What is left of each document, with the leaders it scores highest with, the best first."""
+    names, weights = leaders(rows, known, n)
+    spread = rows.sparkSession.sparkContext.broadcast((names, weights))
 
-    def strongest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, weights = spread.value
         for frame in frames:
-            paths = []
-            for size, terms, tf in zip(frame["doc_tokens"], frame["terms"], frame["tf"], strict=True):
-                tf = np.frombuffer(tf, dtype="<u4")
-                terms = read(terms, len(tf))
-                weights = known.weights(terms, tf, size)
-                if len(terms) > PATH_TERMS:
-                    # of equal weights at the edge all are ordered, so that copies have one path
-                    some = weights >= np.partition(weights, -PATH_TERMS)[-PATH_TERMS]
-                    terms, weights = terms[some], weights[some]
-                paths.append(terms[np.lexsort((terms, -weights))][:PATH_TERMS].astype(">u4").tobytes())
-            yield frame.assign(path=paths)
+            n = frame["tf"].map(len).to_numpy() // 4
+            terms, owner = read(b"".join(frame["terms"]), n.sum()), np.repeat(np.arange(len(n)), n)
+            at = np.minimum(np.searchsorted(names, terms), len(names) - 1)
+            known_to = names[at] == terms
+            at, owner = at[known_to], owner[known_to]
+            scores = np.zeros((len(n), weights.shape[1]), dtype=np.float32)
+            for lo in range(0, len(names), BLOCK_TERMS):
+                part = (at >= lo) & (at < lo + BLOCK_TERMS)
+                held = np.zeros((len(n), min(BLOCK_TERMS, len(names) - lo)), dtype=np.float32)
+                held[owner[part], at[part] - lo] = 1
+                scores += held @ weights[lo : lo + BLOCK_TERMS]
+            order = np.argsort(-scores, axis=1, kind="stable")[:, :PATH_LEADERS].astype(">u4")
+            yield frame.assign(path=[x.tobytes() for x in order])
 
     width = F.pmod("doc_tokens", F.lit(WINDOW))
     some = rows.where(width > 0).select("uid", "doc_tokens", "terms", "tf", F.lit(0).cast("long").alias("start"), width.alias("left"))
-    return some.mapInPandas(strongest, LEFT)
+    return some.mapInPandas(best, LEFT)
 
 
 class Index:
@@ -309,7 +303,7 @@ def packed_round(rows: DataFrame, known: Corpus, number: int, n: int) -> DataFra
 
     names = [c.split()[0] for c in PLACED.split(", ")]
     lead = 4 * number
-    path = F.concat(F.substring("path", lead + 1, 4), F.substring("path", 1, lead), F.substring("path", lead + 5, 4 * PATH_TERMS))
+    path = F.concat(F.substring("path", lead + 1, 4), F.substring("path", 1, lead), F.substring("path", lead + 5, 4 * PATH_LEADERS))
     ordered = rows.withColumn("by", path).repartitionByRange(max(1, -(-n // TASK_DOCUMENTS)), "by", "uid")
     return ordered.sortWithinPartitions("by", "uid").drop("by").mapInPandas(packed, PLACED)
 
@@ -333,7 +327,8 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text")
     rows = tokenised(docs, path, doc_id, text).withColumn("uid", F.monotonically_increasing_id())
     rows = materialize(rows, "packing-tokens")
     known = figures(rows)
-    left, n, placed = routed(rows, known), rows.count(), None
+    n, placed = rows.count(), None
+    left = routed(rows, known, n)
     for number in range(len(SHARES)):
         done = materialize(packed_round(left, known, number, n), f"packing-round-{number}")
         some = done.where("sequence_id IS NOT NULL").select("uid", "start", "length", "sequence_id", "offset")
