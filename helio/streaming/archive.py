@@ -38,10 +38,12 @@ def start_archive(
 ) -> StreamingQuery:
     """Append records to hourly folders, and in them to one for each second of arrival with files of some records.
 
-    Tasks write what they hold; nothing is shuffled. A batch without records writes nothing.
+    Records are dealt to tasks by their folder, so that folders are written side by side and each
+    by one task, whatever the files of the source. A batch without records writes nothing.
     """
     writer = (
         decode_records(df, **(names or {}))
+        .repartition(*FORMATS)
         .writeStream.format("text")
         .outputMode("append")
         .partitionBy(*FORMATS)

@@ -310,6 +310,22 @@ def test_archive_files_hold_a_hundred_records_and_empty_batches_write_none(spark
     assert sorted(folder.glob("*.txt")) == files
 
 
+def test_archive_folders_of_one_source_file_are_written_by_several_tasks(spark, tmp_path, feed):
+    feed.add(*[f"line {i}" for i in range(400)])
+    second = F.element_at(F.split(F.col("data").cast("string"), " "), 2).cast("int") % 20
+    stream = feed.stream().withColumn("arrival_ts", F.timestamp_seconds(F.lit(1772600760) + second))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        query = start_archive(stream.withColumn("data", F.base64("data")), str(tmp_path / "raw"), str(tmp_path / "checkpoint"), availableNow=True)
+        query.awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = list((tmp_path / "raw").glob("year=*/month=*/day=*/hour=*/second=*/*.txt"))
+    assert sorted(len(f.read_text().splitlines()) for f in files) == [20] * 20
+    # part-<task>-...: one source file made one task write every folder
+    assert len({f.name.split("-")[1] for f in files}) > 1
+
+
 # --- snapshot log ----------------------------------------------------------------------
 
 
