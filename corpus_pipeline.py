@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from helio.llm import line_dedup, ngram_join, packing, quality, substring_dedup
 from helio.llm.common import small_batches
-from helio.session import materialize
+from helio.session import WRITTEN, discard, materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -64,6 +64,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    first = len(WRITTEN)
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        # the stage's own tables and the stage before it are read no more: only its result stays on disk
+        discard(spark, WRITTEN[first:-1])
+        del WRITTEN[first:-1]
     return docs

@@ -35,6 +35,10 @@ def shared_path(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/helio/{purpose}-{uuid.uuid4().hex}"
 
 
+#: Folders written by ``materialize``, oldest first, so that a caller can delete those nothing reads any more.
+WRITTEN: list[str] = []
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once and read it back, so that several consumers share one computation.
 
@@ -42,4 +46,13 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, purpose)
     df.write.parquet(path)
+    WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that ``materialize`` wrote and that no table still to be read comes from."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
