@@ -64,10 +64,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    first = len(WRITTEN)
+    first = len(WRITTEN.paths)
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
         # the stage's own tables and the stage before it are read no more: only its result stays on disk
-        discard(spark, WRITTEN[first:-1])
-        del WRITTEN[first:-1]
+        discard(spark, WRITTEN.paths[first:-1])
     return docs

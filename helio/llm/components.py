@@ -1,7 +1,8 @@
 """Connected components of a link table, by alternating stars.
 
 Every node ends up linked with the smallest node that it can reach. Each round is written to the
-shared checkpoint folder, which cuts the lineage and survives lost executors.
+shared checkpoint folder, which cuts the lineage and survives lost executors, and the round before is
+deleted: one table is left, the last that ``materialize`` wrote.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helio.session import materialize
+from helio.session import WRITTEN, discard, materialize
 
 MAX_ROUNDS = 60
 
@@ -45,6 +46,7 @@ def components(edges: DataFrame) -> DataFrame:
         if not before[0]:
             break
         current = materialize(_small_star(_large_star(current)), "links")
+        discard(edges.sparkSession, WRITTEN.paths[-2:-1])
         after = _mark(current)
         if after == before:
             break

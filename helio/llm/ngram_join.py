@@ -1,13 +1,21 @@
 """Similarity join of documents on word shingles, with signature trees.
 
 Which documents can meet is settled by a pigeonhole over parts of their shingle sets: sets that link
-differ in a bounded number of shingles, so of one more parts than that one is equal. Documents that
-share an equal part form clusters, and no link leaves a cluster. Within a cluster a signature tree
+differ in a bounded number of shingles, so of more parts than that the others are equal, which is
+several parts of all but short sets. Pairs of documents that share as many are counted, as far as few
+documents hold a part. A hot part, which many hold, is left out like a weak one; only documents with more
+of these than may be missing meet by hot parts, all that share one. Documents that can meet form clusters,
+and no link leaves a cluster. Documents that share a phrase or a passage by chance do not: they would
+connect most of a large corpus. Within a cluster a signature tree
 holds for each node the OR of its documents' token bitmaps and the range of their sizes; a dual
 traversal drops node pairs whose greatest possible overlap is too small, and what is left is
 verified exactly unless it is connected already.
 
-A cluster beyond one tile is split into bands of set sizes, as linked sets have like sizes. A band beyond
+A cluster beyond one tile is split first by sketches, a bit or two a shingle: the parities of a set's
+shingles by hash. Two sketches differ in no more bits than their sets in shingles, so documents whose
+sketches differ in too many do not link, and only those that others leave together go on.
+
+What is still beyond one tile is split into bands of set sizes, as linked sets have like sizes. A band beyond
 one tile is joined tile by tile first; then only documents outside its largest component meet all
 others, tile against tile.
 
@@ -21,18 +29,20 @@ from math import log
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helio.llm.common import Words, blocks, byte_values, mix, put_back, set_aside, table, utf8, whole_groups
 from helio.llm.components import components
-from helio.session import materialize
+from helio.session import WRITTEN, discard, materialize
 
 SHINGLE = 4
 #: Sets link if 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: Documents of a tile of a cluster.
-TILE = 2048
+#: A part that more rows hold is hot; of the others all pairs of their documents are counted.
+HOT = 32
+#: Documents of a tile of a cluster; of sketches a tile holds so many times as much.
+TILE, SKETCH_TILES = 2048, 4
 FANOUT = 8
 #: Counters of shingles over all documents. A shingle is common if its counter is above the mean by
 #: ten standard deviations and this many.
@@ -68,6 +78,8 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> Iterator[np.ndarray
                 yield np.zeros(0, dtype=np.uint64)
 
 
+#: A kind is a number of parts, then a bit that is set if all parts are used, and in its last bits the level.
+LEVEL_BITS = 32
 #: Bytes of texts whose shingles are held at a time when they are signed.
 SIGN_BYTES = 1 << 19
 
@@ -101,20 +113,21 @@ class Parts:
         spare = np.where(most == 0, 0, np.where(most < 19, 1 + (most + 1) // 6, 4 + (most + 1) // 16))
         return most + 1 + spare, spare
 
-    def signatures(self, sets: list[np.ndarray], common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Signatures of parts, and which set each is of.
+    def signatures(self, sets: list[np.ndarray], common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Signatures of parts, which set each is of, and its kind: parts to have in common, whether all are used, level.
 
         A part without any but common shingles is weak: it would bring together all documents that
         share a passage. Equal parts are weak in both sets, so weak parts are left out unless a set
-        has more of them than may be missing.
+        has more of them than may be missing. A set has all parts but ``most`` in common with each that
+        it links with, less its weak ones if these are left out.
         """
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
         some = np.flatnonzero(sizes)
         if not len(some):
-            return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+            return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         flat, own = np.concatenate([sets[i] for i in some]), self.classes(sizes[some])
         rare = ~common[_counter(flat)]
-        out, owner = [], []
+        out, owner, kind = [], [], []
         for up in (0, 1):
             level = own + up
             number, spare = self.number(level)
@@ -136,7 +149,10 @@ class Parts:
             use = (telling > 0) | (weak > spare)[doc]
             out.append(signature[use])
             owner.append(some[doc[use]])
-        return np.concatenate(out), np.concatenate(owner)
+            whole = weak > spare
+            least = (1 + spare - np.where(whole, 0, weak)).astype(np.int64)
+            kind.append(((2 * least + whole << LEVEL_BITS) + level)[doc[use]])
+        return np.concatenate(out), np.concatenate(owner), np.concatenate(kind)
 
 
 def _counter(sets: np.ndarray) -> np.ndarray:
@@ -198,28 +214,10 @@ def _signed(parts: Parts, common: np.ndarray, size: int):
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             data, ids = utf8(frame["text"]), frame["doc_id"].to_numpy(dtype=np.int64)
-            # small blocks bound the arrays of shingles; what documents share is found over the whole batch
-            found = [(lo, parts.signatures(list(shingle_sets(data[lo:hi], size)), common)) for lo, hi in blocks(data, SIGN_BYTES)]
-            if found:
-                signature = np.concatenate([s for _, (s, _) in found])
-                docs = ids[np.concatenate([lo + owner for lo, (_, owner) in found])]
-                found.clear()
-                # of documents that share a signature here, one keeps it and the others meet that one
-                order = np.argsort(signature, kind="stable")
-                signature, docs = signature[order], docs[order]
-                new = np.ones(len(signature), dtype=bool)
-                new[1:] = signature[1:] != signature[:-1]
-                leader = docs[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
-                more = ~new & (docs != leader)
-                pairs = np.unique(np.stack([docs[more], leader[more]]), axis=1)
-                heads = np.unique(pairs[1])
-                local = lambda x: mix(mix(x.view(np.uint64)) + _TURNS[2])
-                yield pd.DataFrame(
-                    {
-                        "signature": np.concatenate([signature[new], local(pairs[1]), local(heads)]).view(np.int64),
-                        "doc_id": np.concatenate([docs[new], pairs[0], heads]),
-                    }
-                )
+            # small blocks bound the arrays of shingles
+            for lo, hi in blocks(data, SIGN_BYTES):
+                signature, owner, kind = parts.signatures(list(shingle_sets(data[lo:hi], size)), common)
+                yield pd.DataFrame({"signature": signature.view(np.int64), "doc_id": ids[lo + owner], "kind": kind})
 
     return sign
 
@@ -242,6 +240,67 @@ def _stars(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"u": pairs[0], "v": pairs[1]})
 
 
+def candidates(signed: DataFrame, reps: DataFrame) -> DataFrame:
+    """``u, v``: links that connect every two documents of ``reps`` that can link; most cannot.
+
+    Of the ``least`` parts that a document has in common with each that it links with, as many can be hot as it
+    has hot ones; it must have the others in common with one document. If that is nothing, the document is
+    ``open`` and hot parts bring it together with all open ones. What a ``whole`` document says of its parts
+    holds for whole ones only, as others left out weak parts; such a pair goes by the other document's number.
+    """
+    together = Window.partitionBy("signature")
+    held = signed.select(
+        "*",
+        F.count("*").over(together).alias("n"),
+        (F.min("doc_id").over(together) < F.max("doc_id").over(together)).alias("several"),
+    )
+    shared = materialize(held.where("several").select("signature", "doc_id", "kind", (F.col("n") > HOT).alias("hot")), "shared-parts")
+    own = Window.partitionBy("doc_id", "kind")
+    hot = F.col("hot").cast("int")
+    weighed = shared.join(reps, F.col("doc_id") == F.col("rep"), "left_semi").select(
+        "signature",
+        "doc_id",
+        "hot",
+        F.col("kind").bitwiseAND(F.lit((1 << LEVEL_BITS) - 1)).cast("int").alias("level"),
+        (F.shiftright("kind", LEVEL_BITS).bitwiseAND(F.lit(1)) == 1).alias("whole"),
+        (F.shiftright("kind", LEVEL_BITS + 1) - F.sum(hot).over(own)).cast("int").alias("least"),
+        F.sum(1 - hot).over(own).alias("others"),
+    )
+    can = F.col("whole") | (F.col("least") < 1) | (F.col("others") >= F.col("least"))
+    parts = materialize(weighed.where(can & (~F.col("hot") | F.col("whole") | (F.col("least") < 1))).drop("others"), "parts")
+    few = (
+        parts.where("NOT hot")
+        .groupBy("signature")
+        .agg(F.collect_list(F.struct("doc_id", "level", "whole", "least")).alias("all"))
+        .where(F.size("all") > 1)
+    )
+    number = (
+        F.when(F.col("a.whole") == F.col("b.whole"), F.greatest("a.least", "b.least"))
+        .when(F.col("a.whole"), F.col("b.least"))
+        .otherwise(F.col("a.least"))
+    )
+    pairs = (
+        few.select("all", F.explode("all").alias("a"))
+        .select("a", F.explode("all").alias("b"))
+        .where("a.doc_id > b.doc_id")
+        .select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v"), F.col("a.level").alias("level"), number.alias("least"))
+    )
+    # rows that share a doc_id can have several numbers
+    counted = pairs.groupBy("u", "v", "level").agg(F.count("*").alias("n"), F.min("least").alias("least"))
+    # a whole document that is not open meets open ones that are not whole
+    meets = F.max(~F.col("whole")).over(together)
+    stars = (
+        parts.where("hot")
+        .withColumn("meets", meets)
+        .where("least < 1 OR meets")
+        .select("signature", "doc_id")
+        .repartition("signature")
+        .sortWithinPartitions("signature")
+        .mapInPandas(_stars, "u long, v long")
+    )
+    return counted.where("n >= least").select("u", "v").unionByName(stars)
+
+
 class Tree:
     """A signature tree: documents by size, FANOUT to a leaf, FANOUT nodes to a node above."""
 
@@ -304,6 +363,11 @@ def joined_roots(
     a = Tree([sets[i] for i in left], bits)
     b = a if left is right else Tree([sets[i] for i in right], bits)
     top = max(len(a.levels), len(b.levels)) - 1
+
+    def similar_sets(x: int, y: int) -> bool:
+        shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+        return (100 + percent) * shared >= percent * (len(sets[x]) + len(sets[y]))
+
     todo = [(top, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))]
     while todo:
         k, i, j = todo.pop()
@@ -320,17 +384,59 @@ def joined_roots(
             step = 1 << 15
             todo += [(k - 1, i[lo : lo + step], j[lo : lo + step]) for lo in range(0, len(i), step)]
             continue
-        p, q = left[a.order[i]], right[b.order[j]]
-        apart = np.flatnonzero(root[p] != root[q])
-        while len(apart):
-            x, y = p[apart[0]], q[apart[0]]
-            shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-            if (100 + percent) * shared >= percent * (len(sets[x]) + len(sets[y])):
-                low, high = sorted((root[x], root[y]))
-                root[root == high] = low
-                apart = apart[1:][root[p[apart[1:]]] != root[q[apart[1:]]]]
-            else:
-                apart = apart[1:]
+        _linked(root, left[a.order[i]], right[b.order[j]], similar_sets)
+    return root
+
+
+def _linked(root: np.ndarray, p: np.ndarray, q: np.ndarray, fits) -> None:
+    """Joins in ``root`` the components of each p and q that fit, unless they are one already."""
+    apart = np.flatnonzero(root[p] != root[q])
+    while len(apart):
+        x, y = p[apart[0]], q[apart[0]]
+        if fits(x, y):
+            low, high = sorted((root[x], root[y]))
+            root[root == high] = low
+            apart = apart[1:][root[p[apart[1:]]] != root[q[apart[1:]]]]
+        else:
+            apart = apart[1:]
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """The number of shingles, then the parities of how many have each hash of some bits."""
+    bits = 64
+    while bits < 2 * len(shingles):
+        bits *= 2
+    odd = np.bincount((shingles >> np.uint64(11) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.append(np.uint64(len(shingles)), np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8"))
+
+
+def _folded(words: np.ndarray, n: int) -> np.ndarray:
+    """A sketch as it would be with ``n`` words: hashes that differ in their first bits only become equal."""
+    return np.bitwise_xor.reduce(words.reshape(-1, n), axis=0)
+
+
+def sketched_roots(
+    sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, root: np.ndarray, percent: int = PERCENT
+) -> np.ndarray:
+    """As ``joined_roots``, for sketches; links all that may link."""
+    root, words = root.copy(), min(len(s) for s in sets) - 1
+    size = np.array([s[0] for s in sets], dtype=np.int64)
+    maps = np.stack([_folded(s[1:], words) for s in sets])
+    left = left[np.argsort(size[left], kind="stable")]
+    right = right[np.argsort(size[right], kind="stable")]
+    for lo in range(0, len(left), 64):
+        some = left[lo : lo + 64]
+        first, last = size[some[0]] * percent // 100, -(-size[some[-1]] * 100 // percent)
+        a, b = np.searchsorted(size[right], [first, last + 1])
+        for at in range(a, b, 4096):
+            others = right[at : min(at + 4096, b)]
+            apart = np.zeros((len(some), len(others)), dtype=np.uint32)
+            for k in range(words):
+                apart += np.bitwise_count(maps[some, k][:, None] ^ maps[others, k])
+            # sets that link differ in at most (100 - percent) / (100 + percent) of their shingles
+            most = (size[some][:, None] + size[others]) * (100 - percent)
+            i, j = np.nonzero((100 + percent) * apart.astype(np.int64) <= most)
+            _linked(root, some[i], others[j], lambda x, y: True)
     return root
 
 
@@ -344,17 +450,19 @@ def _below(tree: Tree, k: int, i: np.ndarray, other: np.ndarray) -> tuple[np.nda
     return child[child < n], partner[child < n]
 
 
-def _with_sets(size: int):
+def _with_sets(size: int, held=lambda s: s):
+    """Rows of the number of a document's shingles and, in place of its text, what is ``held`` of them."""
+
     def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            sets = [s.tobytes() for s in shingle_sets(utf8(frame["text"]), size)]
-            yield frame.drop(columns="text").assign(shingles=sets)
+            sets = list(shingle_sets(utf8(frame["text"]), size))
+            yield frame.drop(columns="text").assign(n=[len(s) for s in sets], shingles=[held(s).tobytes() for s in sets])
 
     return add
 
 
-def _tile_links(percent: int):
-    """Links within a group of rows of the same ``work``; ``side`` 1 meets all, 0 meets side 1 only."""
+def _tile_links(percent: int, roots):
+    """Links that ``roots`` finds within a group of rows of the same ``work``; ``side`` 1 meets all, 0 meets side 1 only."""
 
     def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in whole_groups(frames, "work"):
@@ -367,9 +475,9 @@ def _tile_links(percent: int):
             before = first[root]
             every, chosen = np.arange(len(ids)), np.flatnonzero(side == 1)
             if len(chosen) == len(ids):
-                after = joined_roots(sets, every, every, before, percent)
+                after = roots(sets, every, every, before, percent)
             elif len(chosen):
-                after = joined_roots(sets, chosen, every, before, percent)
+                after = roots(sets, chosen, every, before, percent)
             else:
                 continue
             moved = after != before
@@ -378,13 +486,41 @@ def _tile_links(percent: int):
     return join
 
 
+def _members(reached: DataFrame) -> DataFrame:
+    """``doc_id, cluster``, and ``c`` documents in it."""
+    several = reached.groupBy("component").agg(F.count("*").alias("c"))
+    named = reached.join(several, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "c")
+    return materialize(named, "clusters")
+
+
+def _held(rows: DataFrame, members: DataFrame, size: int, held, purpose: str) -> DataFrame:
+    chosen = rows.join(members.hint("merge"), "doc_id")
+    filled = chosen.mapInPandas(_with_sets(size, held), "doc_id long, cluster long, c long, n long, shingles binary").where("n > 0")
+    return materialize(filled, purpose)
+
+
+def _found(sets: DataFrame, percent: int, roots, tile: int) -> DataFrame:
+    """Links that ``roots`` finds within each cluster, those beyond ``TILE`` by bands, in tiles of ``tile``."""
+    whole = sets.where(F.col("c") <= TILE).withColumn("tile", F.lit(0))
+    banded = materialize(_banded(sets, percent, tile), "bands")
+    columns = ["doc_id", "shingles", F.col("doc_id").alias("root"), F.lit(1).alias("side"), _work("cluster", "tile")]
+    dealt = banded.join(sets.select("doc_id", "shingles"), "doc_id")
+    found = _joined(whole.select(*columns).unionByName(dealt.select(*columns)), percent, roots)
+    if banded.where("m > 1").limit(1).count():
+        found = materialize(found, "tile-links")
+        found = found.unionByName(_across(banded.where("m > 1"), sets.select("doc_id", "shingles"), found, percent, roots, tile))
+    return found
+
+
 def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT):
     """Sizes of all sets by doc_id, and ``node, component`` of the linked documents."""
+    session = docs.sparkSession
     rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     counted = materialize(
         rows.mapInPandas(_stats(size), "n_shingles long, d1 long, d2 long, doc_id long, segment int, counts binary"),
         "shingle-counts",
     )
+    first = len(WRITTEN.paths)
     stats = counted.where("segment < 0").select("doc_id", "n_shingles", "d1", "d2")
     common = common_counters(counted.where("segment >= 0").select("segment", "counts"))
     copies = (
@@ -394,41 +530,31 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     )
     some = copies.where("most > rep").select("n_shingles", "d1", "d2", "rep")
     same = stats.join(some, ["n_shingles", "d1", "d2"]).where("doc_id > rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    clusters = components(
-        rows.mapInPandas(_signed(Parts(percent), common, size), "signature long, doc_id long")
-        .repartition("signature")
-        .sortWithinPartitions("signature")
-        .mapInPandas(_stars, "u long, v long")
-    )
-    reps = clusters.join(copies.select("rep"), F.col("node") == F.col("rep"), "left_semi")
-    several = reps.groupBy("component").agg(F.count("*").alias("c")).where("c > 1")
-    members = materialize(reps.join(several, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "c"), "clusters")
-    sets = materialize(
-        rows.join(members.hint("merge"), "doc_id").mapInPandas(_with_sets(size), "doc_id long, cluster long, c long, shingles binary"),
-        "shingle-sets",
-    )
-    whole = sets.where(F.col("c") <= TILE).withColumn("tile", F.lit(0))
-    banded = materialize(_banded(sets, percent), "bands")
-    columns = ["doc_id", "shingles", F.col("doc_id").alias("root"), F.lit(1).alias("side"), _work("cluster", "tile")]
-    dealt = banded.join(sets.select("doc_id", "shingles"), "doc_id")
-    found = _joined(whole.select(*columns).unionByName(dealt.select(*columns)), percent)
-    if banded.where("m > 1").limit(1).count():
-        found = materialize(found, "tile-links")
-        found = found.unionByName(_across(banded.where("m > 1"), sets.select("doc_id", "shingles"), found, percent))
-    return stats, components(same.unionByName(found))
-
-
-def _banded(sets: DataFrame, percent: int) -> DataFrame:
+    signed = rows.mapInPandas(_signed(Parts(percent), common, size), "signature long, doc_id long, kind long")
+    members = _members(components(candidates(signed, copies.select("rep"))))
+    if members.where(F.col("c") > TILE).limit(1).count():
+        large = _held(rows, members.where(F.col("c") > TILE), size, sketch, "sketches")
+        split = _members(components(_found(large, percent, sketched_roots, SKETCH_TILES * TILE)))
+        members = materialize(members.where(F.col("c") <= TILE).unionByName(split), "clusters")
+    discard(session, WRITTEN.paths[first:-1])
+    found = _found(_held(rows, members, size, lambda s: s, "shingle-sets"), percent, joined_roots, TILE)
+    linked = components(same.unionByName(found))
+    # only the sizes and the components are read from now on
+    discard(session, WRITTEN.paths[first:-1])
+    return stats, linked
+
+
+def _banded(sets: DataFrame, percent: int, tile: int) -> DataFrame:
     """Documents of clusters beyond one tile by bands of set sizes, each band with its tiles.
 
     Sizes of linked sets differ by less than a band's width, so a document is in its own band and in the
     next one, where it meets those of that band.
     """
     width = max(log(100 / percent), 1e-6) * (1 + 1e-6)
-    own = F.floor(F.log(F.length("shingles") / 8) / width).cast("long")
+    own = F.floor(F.log("n") / width).cast("long")
     placed = sets.where(F.col("c") > TILE).select("doc_id", "cluster", F.explode(F.array(own, own + 1)).alias("band"))
     several = placed.groupBy("cluster", "band").agg(F.count("*").alias("n")).where("n > 1")
-    m = F.ceil(F.col("n") / TILE).cast("int")
+    m = F.ceil(F.col("n") / tile).cast("int")
     return placed.join(several, ["cluster", "band"]).select(
         "doc_id",
         F.concat_ws("/", F.col("cluster").cast("string"), F.col("band").cast("string")).alias("cluster"),
@@ -441,8 +567,8 @@ def _work(*columns: str):
     return F.concat_ws(",", *[F.col(c).cast("string") for c in columns]).alias("work")
 
 
-def _joined(rows: DataFrame, percent: int) -> DataFrame:
-    return rows.repartition("work").sortWithinPartitions("work").mapInPandas(_tile_links(percent), "u long, v long")
+def _joined(rows: DataFrame, percent: int, roots) -> DataFrame:
+    return rows.repartition("work").sortWithinPartitions("work").mapInPandas(_tile_links(percent, roots), "u long, v long")
 
 
 def _rooted(tiled: DataFrame, found: DataFrame) -> DataFrame:
@@ -450,16 +576,16 @@ def _rooted(tiled: DataFrame, found: DataFrame) -> DataFrame:
     return materialize(joined.withColumn("root", F.coalesce("component", "doc_id")).drop("node", "component"), "rooted")
 
 
-def _across(tiled: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+def _across(tiled: DataFrame, sets: DataFrame, found: DataFrame, percent: int, roots, tile: int) -> DataFrame:
     """Links between tiles of the clusters that have several; sets are fetched for open cases only."""
     # one document of each component stands for it in a first round, dealt to tiles anew
     heads = _rooted(tiled, found).groupBy("cluster", "root").agg(F.min("doc_id").alias("doc_id"))
     some = heads.groupBy("cluster").agg(F.count("*").alias("heads")).where("heads > 1")
     dealt = heads.join(some, "cluster").withColumn(
-        "deal", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.ceil(F.col("heads") / TILE)).cast("int")
+        "deal", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.ceil(F.col("heads") / tile)).cast("int")
     )
     work = dealt.select("doc_id", "root", F.lit(1).alias("side"), _work("cluster", "deal")).join(sets, "doc_id")
-    first = materialize(_joined(work, percent), "head-links")
+    first = materialize(_joined(work, percent, roots), "head-links")
     rooted = _rooted(tiled, found.unionByName(first))
     # two documents that are not connected are not both of the largest component
     sizes = rooted.groupBy("cluster", "root").agg(F.count("*").alias("n"))
@@ -470,7 +596,7 @@ def _across(tiled: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -
         .groupBy("cluster")
         .agg(F.sum("n").alias("few"), F.first("top.root").alias("main"))
     )
-    still = rooted.join(few, "cluster").withColumn("k", F.ceil(F.col("few") / TILE).cast("int"))
+    still = rooted.join(few, "cluster").withColumn("k", F.ceil(F.col("few") / tile).cast("int"))
     minor = (
         still.where("root <> main")
         .withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("k")).cast("int"))
@@ -479,7 +605,7 @@ def _across(tiled: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -
     )
     rest = still.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("side", F.lit(0))
     names = ["doc_id", "root", "side", _work("cluster", "part", "tile")]
-    second = _joined(minor.select(*names).unionByName(rest.select(*names)).join(sets, "doc_id"), percent)
+    second = _joined(minor.select(*names).unionByName(rest.select(*names)).join(sets, "doc_id"), percent, roots)
     return first.unionByName(second)
 
 

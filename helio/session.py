@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,19 +36,37 @@ def shared_path(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/helio/{purpose}-{uuid.uuid4().hex}"
 
 
-#: Folders written by ``materialize``, oldest first, so that a caller can delete those nothing reads any more.
-WRITTEN: list[str] = []
+class Written(threading.local):
+    """Folders that ``materialize`` wrote and nobody deleted, oldest first, of each thread."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+
+#: So that a caller can delete those nothing reads any more.
+WRITTEN = Written()
+
+#: Whether Spark deletes the shuffle files of a query when it ends, and not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once and read it back, so that several consumers share one computation.
 
-    Unlike a cached table the result outlives lost executors.
+    Unlike a cached table the result outlives lost executors. The write's shuffle files go with it.
     """
-    path = shared_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    WRITTEN.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, shared_path(df.sparkSession, purpose)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    WRITTEN.paths.append(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(spark: SparkSession, paths: list[str]) -> None:
@@ -56,3 +75,4 @@ def discard(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
         folder = jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(conf).delete(folder, True)
+    WRITTEN.paths = [path for path in WRITTEN.paths if path not in paths]
