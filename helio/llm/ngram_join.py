@@ -223,7 +223,7 @@ def _signed(parts: Parts, common: np.ndarray, size: int):
 
 
 def _stars(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links every document of a signature with its first; rows come sorted by signature."""
+    """Links every document of a signature with its first; rows come sorted by signature and document."""
     last, head = None, 0
     for frame in frames:
         if not len(frame):
@@ -245,8 +245,9 @@ def candidates(signed: DataFrame, reps: DataFrame) -> DataFrame:
 
     Of the ``least`` parts that a document has in common with each that it links with, as many can be hot as it
     has hot ones; it must have the others in common with one document. If that is nothing, the document is
-    ``open`` and hot parts bring it together with all open ones. What a ``whole`` document says of its parts
-    holds for whole ones only, as others left out weak parts; such a pair goes by the other document's number.
+    open: any part brings it together with all open ones, by the first of them. What a ``whole`` document says
+    of its parts holds for whole ones only, as others left out weak parts; such a pair goes by the other
+    document's number.
     """
     together = Window.partitionBy("signature")
     held = signed.select(
@@ -284,18 +285,18 @@ def candidates(signed: DataFrame, reps: DataFrame) -> DataFrame:
         .select("a", F.explode("all").alias("b"))
         .where("a.doc_id > b.doc_id")
         .select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v"), F.col("a.level").alias("level"), number.alias("least"))
+        .where("least > 0")
     )
     # rows that share a doc_id can have several numbers
     counted = pairs.groupBy("u", "v", "level").agg(F.count("*").alias("n"), F.min("least").alias("least"))
-    # a whole document that is not open meets open ones that are not whole
-    meets = F.max(~F.col("whole")).over(together)
+    # a whole document that is not open meets open ones that are not whole; the others meet open ones of their kind
     stars = (
-        parts.where("hot")
-        .withColumn("meets", meets)
+        parts.where("whole OR least < 1")
+        .select("signature", "doc_id", "least", F.max(~F.col("whole")).over(together).alias("meets"))
         .where("least < 1 OR meets")
         .select("signature", "doc_id")
         .repartition("signature")
-        .sortWithinPartitions("signature")
+        .sortWithinPartitions("signature", "doc_id")
         .mapInPandas(_stars, "u long, v long")
     )
     return counted.where("n >= least").select("u", "v").unionByName(stars)
